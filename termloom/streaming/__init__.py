@@ -1,0 +1 @@
+"""Nothing here: every operator of this engine is a batch job over tables."""
