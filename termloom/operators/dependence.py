@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.index import TextIndex
-from termloom.operators.scorers import UNIT, matches, unit_statistics
+from termloom.operators.index import UNIT, TextIndex
+from termloom.operators.joins import lookup_join
+from termloom.operators.scorers import PAIR, background, matches, total, unit_statistics
 
 # Weights of the three parts, smoothing, window and field weights.
 SDM_WEIGHTS = {"T": 0.85, "O": 0.1, "U": 0.05}
@@ -51,33 +52,35 @@ def sdm(
     kind_weights = kind_weights or SDM_WEIGHTS
     check_weights(kind_weights)
     stats = (
-        unit_statistics(index, units)
-        .filter((F.col("field") == field) & F.col("kind").isin(list(kind_weights)))
-        .withColumn("w", _by_kind(kind_weights) * F.col("qf"))
-        .withColumn("bg", mu * F.col("ttf") / F.col("sum_dl"))
+        unit_statistics(index, units.filter(F.col("kind").isin(list(kind_weights))))
+        .select(
+            "query_id", *UNIT,
+            (_by_kind(kind_weights) * F.col("qf")).alias("w"),
+            (mu * background(index, field)).alias("bg"),
+        )
+        .filter("bg > 0")
     )
     base = stats.groupBy("query_id").agg(
         F.sum(F.col("w") * F.log("bg")).alias("base"), F.sum("w").alias("mass")
     )
-    rows = matches(index, stats.select("query_id", *UNIT, "field", "w", "bg").join(base, "query_id"))
-    gain = F.sum(F.col("w") * F.log1p(F.col("tf") / F.col("bg"))).alias("gain")
-    if pairs is None:
-        scored = rows.groupBy("query_id", "doc_id", "dl", "base", "mass").agg(gain)
-    else:
-        lengths = index.doc_len.filter(F.col("field") == field).select("doc_id", "dl")
-        scored = (
-            pairs.select("query_id", "doc_id")
-            .join(rows.groupBy("query_id", "doc_id").agg(gain), ["query_id", "doc_id"], "left")
-            .join(base, "query_id", "left")
-            .join(lengths, "doc_id")
-            .fillna(0.0, ["base", "mass", "gain"])
-        )
-    return scored.select(
-        "query_id", "doc_id",
-        (F.col("base") - F.col("mass") * F.log(F.col("dl") + mu) + F.col("gain")).alias("score"),
+    gain = F.col("w") * F.log1p(F.col("tf")[field] / F.col("bg"))
+    scored = _gains(index, matches(index, stats, [field]), gain, pairs)
+    with_base = lookup_join(scored, base, ["query_id"], index.small_queries, "left").fillna(0.0, ["base", "mass"])
+    length = F.log(F.col("lens")[field] + F.lit(mu))
+    return with_base.select(
+        *PAIR, (F.col("base") - F.col("mass") * length + F.col("gain")).alias("score")
     )
 
 
+def _gains(index: TextIndex, rows: DataFrame, gain: Column, pairs: DataFrame | None) -> DataFrame:
+    """(query_id, doc_id, lens, gain) of the matching documents, or of the listed pairs."""
+    gains = rows.groupBy(*PAIR, "lens").agg(F.sum(gain).alias("gain"))
+    if pairs is None:
+        return gains
+    listed = pairs.select(*PAIR).join(index.documents, "doc_id")
+    return listed.join(gains.drop("lens"), PAIR, "left").fillna(0.0, ["gain"])
+
+
 def fsdm(
     index: TextIndex,
     units: DataFrame,
@@ -90,20 +93,14 @@ def fsdm(
     field_weights = field_weights or FSDM_FIELD_WEIGHTS
     kind_weights = kind_weights or SDM_WEIGHTS
     check_weights(kind_weights)
-    w_f = F.lit(None).cast("double")
-    for field, weight in field_weights.items():
-        w_f = F.when(F.col("field") == field, F.lit(float(weight))).otherwise(w_f)
-    stats = (
-        unit_statistics(index, units)
-        .filter(F.col("field").isin(list(field_weights)) & F.col("kind").isin(list(kind_weights)))
-        .select(
-            "query_id", *UNIT, "field",
-            (_by_kind(kind_weights) * F.col("qf")).alias("w"),
-            w_f.alias("w_f"),
-            (F.col("ttf") / F.col("sum_dl")).alias("p"),
-        )
+    fields = list(field_weights)
+    stats = unit_statistics(index, units.filter(F.col("kind").isin(list(kind_weights)))).select(
+        "query_id", *UNIT,
+        (_by_kind(kind_weights) * F.col("qf")).alias("w"),
+        F.struct(*[F.lit(float(field_weights[f])).alias(f) for f in fields]).alias("w_f"),
+        F.struct(*[background(index, f).alias(f) for f in fields]).alias("p"),
     )
-    return dirichlet_mixture(index, stats, list(field_weights), mu, pairs)
+    return dirichlet_mixture(index, stats, fields, mu, pairs)
 
 
 def dirichlet_mixture(
@@ -115,43 +112,29 @@ def dirichlet_mixture(
 ) -> DataFrame:
     """Sum over units of w * ln(sum_f w_f (tf_f + mu p_f)/(dl_f + mu)).
 
-    `stats(query_id, kind, unit, field, w, w_f, p)`. The background of a unit depends on
-    the lengths of all fields, so it is computed in the row of each scored document from
-    the query's own list of units; only matching units go through the aggregation.
+    `stats(query_id, kind, unit, w, w_f, p)`. The background of a unit depends on the
+    lengths of all fields, so it is computed for each scored document and each unit of its
+    query; the counts only enter through the gain of matching units. Units unseen in every
+    field are left out.
     """
-    prior = [
-        F.coalesce(F.sum(F.when(F.col("field") == f, F.col("w_f") * F.col("p"))), F.lit(0.0)).alias(f)
-        for f in fields
-    ]
-    priors = stats.groupBy("query_id", *UNIT, "w").agg(F.struct(*prior).alias("prior"))
-
-    def background(p: Column) -> Column:
-        parts = [mu * p[f] / (F.col("lens")[f] + mu) for f in fields]
-        return sum(parts[1:], parts[0])
-
-    known = stats.select("query_id", *UNIT, "field", "w_f").join(priors, ["query_id", *UNIT])
-    rows = matches(index, known)
-    if pairs is not None:
-        rows = rows.join(pairs.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
-    folded = (
-        rows.repartition("query_id", "doc_id")  # serves both aggregations below
-        .groupBy("query_id", "doc_id", "lens", *UNIT, "w", "prior")
-        .agg(F.sum(F.col("w_f") * F.col("tf") / (F.col("dl") + mu)).alias("m"))
-        .withColumn("bg", background(F.col("prior")))
-    )
-    gain = F.sum(F.col("w") * F.log1p(F.col("m") / F.col("bg"))).alias("gain")
-    gains = folded.groupBy("query_id", "doc_id", "lens").agg(gain)
+    prior = F.struct(*[(mu * F.col("w_f")[f] * F.col("p")[f]).alias(f) for f in fields])
+    seen = stats.filter(total([F.col("w_f")[f] * F.col("p")[f] for f in fields]) > 0).withColumn("prior", prior)
+
+    def unmatched(prior: Column) -> Column:
+        return total([prior[f] / (F.col("lens")[f] + mu) for f in fields])
+
+    rows = matches(index, seen.drop("p"), fields)
     if pairs is not None:
-        gains = (
-            pairs.select("query_id", "doc_id")
-            .join(index.documents, "doc_id")
-            .join(gains.drop("lens"), ["query_id", "doc_id"], "left")
-            .fillna(0.0, ["gain"])
-        )
-    per_query = priors.groupBy("query_id").agg(F.collect_list(F.struct("w", "prior")).alias("units"))
-    base = F.aggregate(
-        "units", F.lit(0.0), lambda total, u: total + u["w"] * F.log(background(u["prior"]))
-    )
-    return gains.join(per_query, "query_id", "left").select(
-        "query_id", "doc_id", (F.coalesce(base, F.lit(0.0)) + F.col("gain")).alias("score")
+        rows = rows.join(pairs.select(*PAIR), PAIR, "left_semi")
+    own = total([F.col("w_f")[f] * F.col("tf")[f] / (F.col("lens")[f] + mu) for f in fields])
+    scored = _gains(index, rows, F.col("w") * F.log1p(own / unmatched(F.col("prior"))), pairs)
+    # One row per scored document and unit of its query, summed again at once: the rows are
+    # still grouped by (query, document), so this needs no further shuffle.
+    units = seen.select("query_id", "w", "prior")
+    spelled = lookup_join(scored, units, ["query_id"], index.small_queries, "left")
+    base = F.sum(F.col("w") * F.log(unmatched(F.col("prior"))))
+    return (
+        spelled.groupBy(*PAIR, "lens")
+        .agg(F.coalesce(base, F.lit(0.0)).alias("base"), F.first("gain").alias("gain"))
+        .select(*PAIR, (F.col("base") + F.col("gain")).alias("score"))
     )

@@ -1,76 +1,94 @@
 """The inverted index as a table.
 
-One row per (document, field, unit): `entries(doc_id, field, dl, lens, kind, unit, tf)`.
-`dl` is the length of that field, `lens` a struct with the lengths of all fields of the
-document. `kind` is T for single terms, O for adjacent pairs and U for pairs within a
-window; the latter two exist only when a scorer asks for them. Each document also has one
-row per field with an empty unit and tf = 0: it stands for the document itself, so document
-counts, lengths and statistics come out of the same shuffle as the postings, and the
-corpus is read and tokenised once per query.
+One row per (document, unit): `entries(doc_id, lens, kind, unit, tf)`. `tf` is a struct with
+the count of the unit in every field and `lens` one with the lengths of the fields, so a
+scorer that mixes fields finds all it needs in one row. `kind` is T for single terms, O for
+adjacent pairs and U for pairs within a window; the latter two exist only when a scorer
+asks for them. Each document also has one row with an empty unit and counts of 0, which
+stands for the document itself: document counts and lengths come out of the same pass as
+the postings, and the corpus is read and tokenised once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.analysis import Analyzer, index_terms
 from termloom.operators.joins import fits_broadcast, lookup_join
+from termloom.operators.staging import stage
 
-ENTRY_KEY = ["doc_id", "field", "dl", "lens", "kind", "unit"]
+UNIT = ["kind", "unit"]
 
 
 # ---- units -----------------------------------------------------------------------------
 
 def adjacent_pairs(terms: Column) -> Column:
     """'a b' for every two neighbouring terms, in order."""
-    return _pairs_at(terms, 1, lambda a, b: F.concat_ws(" ", a, b))
+    return F.zip_with(
+        F.slice(terms, F.lit(1), F.greatest(F.size(terms) - 1, F.lit(0))),
+        F.slice(terms, F.lit(2), F.greatest(F.size(terms) - 1, F.lit(0))),
+        lambda a, b: F.concat_ws(" ", a, b),
+    )
 
 
-def window_pairs(terms: Column, window: int) -> Column:
-    """One unit, smaller term first, for each two positions less than `window` apart."""
-    near = [
-        _pairs_at(terms, gap, lambda a, b: F.concat_ws(" ", F.least(a, b), F.greatest(a, b)))
-        for gap in range(1, window)
-    ]
-    return F.concat(*near) if near else F.array().cast("array<string>")
+def unordered(pair: Column) -> Column:
+    """'a b' with the smaller term first."""
+    words = F.split(pair, " ")
+    return F.concat_ws(" ", F.array_min(words), F.array_max(words))
 
 
-def anchored_pairs(terms: Column, window: int) -> Column:
-    """'a b' once per position of a that has b less than `window` away on either side.
+def _units_at(kinds: str, window: int, count_rule: str) -> Column:
+    """Units that start at position `pos` of `terms`, as an array of (kind, unit).
 
-    The position itself counts as near, so 'a a' is there for every a.
+    Position 0 holds the empty term of the document's own row, which pairs with nothing.
+    With the rule `pairs`, U has one unit for each two positions less than `window` apart.
+    With `anchored`, it has 'a b' once per position of a that has b less than `window` away
+    on either side; the position itself counts as near.
     """
-    def around(a: Column, i: Column) -> Column:
-        first = F.greatest(i - (window - 2), F.lit(1))
-        near = F.slice(terms, first, i + window - first + 1)
-        return F.transform(F.array_distinct(near), lambda b: F.concat_ws(" ", a, b))
-
-    return F.flatten(F.transform(terms, around))
-
-
-def _pairs_at(terms: Column, gap: int, unit) -> Column:
-    """Combine each term with the one `gap` places later."""
-    pairs = F.greatest(F.size(terms) - gap, F.lit(0))
-    return F.zip_with(F.slice(terms, F.lit(1), pairs), F.slice(terms, F.lit(gap + 1), pairs), unit)
-
-
-def unit_columns(kinds: str, window: int = 3, count_rule: str = "pairs") -> Mapping[str, Analyzer]:
-    """How a term list becomes units, per kind."""
-    if count_rule not in ("pairs", "anchored"):
-        raise ValueError("count_rule is 'pairs' or 'anchored'")
-    near = window_pairs if count_rule == "pairs" else anchored_pairs
-    known = {"T": lambda t: t, "O": adjacent_pairs, "U": lambda t: near(t, window)}
-    return {kind: known[kind] for kind in kinds}
+    term, pos, terms = F.col("term"), F.col("pos"), F.col("terms")
+
+    def unit(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("unit"))
+
+    def after(gap: int) -> Column:
+        return F.when(pos > 0, F.get(terms, pos + gap))
+
+    def pair(a: Column, b: Column) -> Column:
+        return F.concat(a, F.lit(" "), b)
+
+    found = []
+    if "T" in kinds:
+        found.append(unit("T", term))
+    if "O" in kinds:
+        found.append(unit("O", pair(term, after(1))))
+    if "U" in kinds and count_rule == "pairs":
+        for gap in range(1, window):
+            other = after(gap)
+            ordered = pair(F.least(term, other), F.greatest(term, other))
+            found.append(unit("U", F.when(other.isNotNull(), ordered)))
+    units = F.array(*found)
+    if "U" in kinds and count_rule == "anchored":
+        first = F.greatest(pos - (window - 2), F.lit(2))
+        near = F.array_distinct(F.slice(terms, first, F.greatest(pos + window - first + 1, F.lit(0))))
+        listed = F.transform(near, lambda other: unit("U", F.concat(term, F.lit(" "), other)))
+        units = F.concat(units, F.when(pos > 0, listed).otherwise(F.slice(listed, 1, 0)))
+    return units
 
 
 def query_units(queries: DataFrame, kinds: str = "T", count_rule: str = "pairs") -> DataFrame:
     """`queries(query_id, terms)` as (query_id, kind, unit, qf); pairs come from neighbours."""
-    near = {"pairs": lambda t: window_pairs(t, 2), "anchored": adjacent_pairs}[count_rule]
-    of_kind = {"T": lambda t: t, "O": adjacent_pairs, "U": near}
+    if count_rule not in ("pairs", "anchored"):
+        raise ValueError("count_rule is 'pairs' or 'anchored'")
+    of_kind = {
+        "T": lambda t: t,
+        "O": adjacent_pairs,
+        "U": lambda t: F.transform(adjacent_pairs(t), unordered) if count_rule == "pairs" else adjacent_pairs(t),
+    }
     units = F.array(
         *[F.struct(F.lit(k).alias("kind"), of_kind[k](F.col("terms")).alias("units")) for k in kinds]
     )
@@ -97,52 +115,76 @@ def tokens(doc_terms: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class CollectionStats:
+    """Totals of a collection: a few numbers per field, whatever its size."""
+
+    n_docs: int
+    doc_count: Mapping[str, int]
+    total_len: Mapping[str, int]
+
+    def avg_len(self, field: str) -> float:
+        return self.total_len[field] / self.n_docs if self.n_docs else 0.0
+
+
 @dataclass(frozen=True)
 class TextIndex:
     entries: DataFrame
     fields: tuple[str, ...]
-    small_vocabulary: bool = False
-
-    @property
-    def postings(self) -> DataFrame:
-        """(field, term, doc_id, tf, dl) of single terms."""
-        return self.entries.filter((F.col("tf") > 0) & (F.col("kind") == "T")).select(
-            "field", F.col("unit").alias("term"), "doc_id", "tf", "dl"
-        )
+    small_queries: bool = False
 
     @property
     def documents(self) -> DataFrame:
         """(doc_id, lens) of every document."""
-        return self.entries.filter((F.col("tf") == 0) & (F.col("field") == self.fields[0])).select(
-            "doc_id", "lens"
+        return self.entries.filter(F.col("unit") == "").select("doc_id", "lens")
+
+    @property
+    def postings(self) -> DataFrame:
+        """(field, term, doc_id, tf, dl) of single terms."""
+        terms = self.entries.filter(F.col("kind") == "T")
+        return self._per_field(terms, F.col("unit").alias("term"), tf="tf", dl="lens").filter("tf > 0").select(
+            "field", "term", "doc_id", "tf", "dl"
         )
 
     @property
     def doc_len(self) -> DataFrame:
         """(doc_id, field, dl), with rows for empty fields."""
-        return self.entries.filter(F.col("tf") == 0).select("doc_id", "field", "dl")
+        return self._per_field(self.documents, dl="lens")
+
+    def _per_field(self, rows: DataFrame, *extra: Column, **structs: str) -> DataFrame:
+        """One row per field from columns that are structs over the fields."""
+        cells = [
+            F.struct(F.lit(f).alias("field"), *[F.col(c)[f].alias(n) for n, c in structs.items()])
+            for f in self.fields
+        ]
+        return rows.select("doc_id", *extra, F.inline(F.array(*cells)))
 
     @property
     def unit_stats(self) -> DataFrame:
-        """df and ttf per (kind, field, unit)."""
-        return self.entries.groupBy("kind", "field", "unit").agg(
-            F.count("*").alias("df"), F.sum("tf").alias("ttf")
+        """(kind, unit, df, ttf): documents and occurrences per field, as structs."""
+        return self.entries.filter(F.col("unit") != "").groupBy(*UNIT).agg(
+            F.struct(*[F.count_if(F.col("tf")[f] > 0).alias(f) for f in self.fields]).alias("df"),
+            F.struct(*[F.sum(F.col("tf")[f]).alias(f) for f in self.fields]).alias("ttf"),
         )
 
     @property
     def field_stats(self) -> DataFrame:
-        """Documents, non-empty documents and total length per field."""
-        own = F.col("tf") == 0
-        return self.entries.groupBy("field").agg(
-            F.count_if(own).alias("n_docs"),
-            F.count_if(own & (F.col("dl") > 0)).alias("doc_count"),
-            F.sum(F.when(own, F.col("dl").cast("long"))).alias("sum_dl"),
+        """(field, n_docs, doc_count, total_len)."""
+        return self.doc_len.groupBy("field").agg(
+            F.count("*").alias("n_docs"),
+            F.count_if(F.col("dl") > 0).alias("doc_count"),
+            F.sum("dl").alias("total_len"),
         )
 
-    def with_fields(self, fields: Sequence[str]) -> TextIndex:
-        """The same index for scorers that use only some of the fields."""
-        keep = self.entries.filter(F.col("field").isin(list(fields)))
-        return TextIndex(keep, tuple(fields), self.small_vocabulary)
+    @cached_property
+    def stats(self) -> CollectionStats:
+        """The rows of `field_stats` as numbers for the scoring formulas."""
+        rows = {r.field: r for r in self.field_stats.collect()}  # one row per field
+        return CollectionStats(
+            n_docs=max((r.n_docs for r in rows.values()), default=0),
+            doc_count={f: rows[f].doc_count if f in rows else 0 for f in self.fields},
+            total_len={f: rows[f].total_len if f in rows else 0 for f in self.fields},
+        )
 
 
 def build_index(
@@ -151,58 +193,84 @@ def build_index(
     kinds: str = "T",
     window: int = 3,
     count_rule: str = "pairs",
-    vocabulary: DataFrame | None = None,
+    units: DataFrame | None = None,
 ) -> TextIndex:
-    """Count units per document and field.
+    """Count units per document and stage the result.
 
-    With `vocabulary(kind, unit)` only those units are kept. When it fits a broadcast the
-    other occurrences are dropped before the shuffle; otherwise units are counted first
-    (which removes repeats map-side) and then joined in salted parts.
+    With `units(query_id, kind, unit, qf)` only the units of those queries are kept. When
+    that table fits a broadcast, other occurrences are dropped before the shuffle;
+    otherwise units are counted first, which merges repeats map-side, and then joined in
+    salted parts.
     """
-    units = unit_columns(kinds, window, count_rule)
-    own = [_unit_list(f, "", F.array(F.lit(""))) for f in fields]
-    listed = [_unit_list(f, k, make(F.col(f))) for f in fields for k, make in units.items()]
-    occurrences = doc_terms.select(
-        "doc_id",
-        F.struct(*[F.size(f).alias(f) for f in fields]).alias("lens"),
-        F.explode(F.array(*own, *listed)).alias("u"),
-    ).select("doc_id", "u.field", "u.dl", "lens", "u.kind", F.explode("u.units").alias("unit"))
-    small = False
-    if vocabulary is not None:
-        wanted, small = _wanted_units(vocabulary)
-        if small:
-            occurrences = lookup_join(occurrences, wanted, ["kind", "unit"], True, "left_semi")
-    entries = occurrences.groupBy(*ENTRY_KEY).agg(F.count(F.nullif("unit", F.lit(""))).alias("tf"))
-    if vocabulary is not None and not small:
-        entries = lookup_join(entries, wanted, ["kind", "unit"], False, "left_semi")
-    return TextIndex(entries, tuple(fields), small)
-
-
-def _wanted_units(vocabulary: DataFrame) -> tuple[DataFrame, bool]:
-    """Distinct units plus the empty one of the documents' own rows, and whether they fit."""
-    wanted = vocabulary.select("kind", "unit").distinct()
-    own = wanted.sparkSession.range(1).select(F.lit("").alias("kind"), F.lit("").alias("unit"))
-    return wanted.union(own), fits_broadcast(wanted)
-
-
-def _unit_list(field: str, kind: str, units: Column) -> Column:
-    return F.struct(
-        F.lit(field).alias("field"),
-        F.size(field).alias("dl"),
-        F.lit(kind).alias("kind"),
-        units.alias("units"),
+    listed = F.array(
+        *[
+            F.struct(F.lit(f).alias("field"), F.concat(F.array(F.lit("")), F.col(f)).alias("terms"))
+            for f in fields
+        ]
+    )
+    occurrences = (
+        doc_terms.select(
+            "doc_id",
+            F.struct(*[F.size(f).alias(f) for f in fields]).alias("lens"),
+            F.inline(listed),
+        )
+        .select("doc_id", "lens", "field", "terms", F.posexplode("terms").alias("pos", "term"))
     )
+    own_kind = F.when(F.col("pos") == 0, "")
+    if kinds == "T":
+        occurrences = occurrences.select(
+            "doc_id", "lens", "field", "pos", F.coalesce(own_kind, F.lit("T")).alias("kind"), F.col("term").alias("unit")
+        )
+    else:
+        # the document's own row is kept by its single-term unit, whatever kinds are asked for
+        at = _units_at("T" + kinds.replace("T", ""), window, count_rule)
+        occurrences = occurrences.select("doc_id", "lens", "field", "pos", F.inline(at)).select(
+            "doc_id", "lens", "field", "pos", F.coalesce(own_kind, F.col("kind")).alias("kind"), "unit"
+        ).filter(F.col("unit").isNotNull() & F.col("kind").isin(["", *kinds]))
+    small = units is not None and fits_broadcast(units)
+    if small:
+        occurrences = lookup_join(occurrences, _wanted(units), UNIT, True, "left_semi")
+    in_field = [F.count_if((F.col("field") == f) & (F.col("pos") > 0)).alias(f) for f in fields]
+    entries = occurrences.groupBy("doc_id", "lens", *UNIT).agg(F.struct(*in_field).alias("tf"))
+    if units is not None and not small:
+        entries = lookup_join(entries, _wanted(units), UNIT, False, "left_semi")
+    return TextIndex(stage(entries, "index"), tuple(fields), small)
+
+
+def restrict(index: TextIndex, units: DataFrame) -> TextIndex:
+    """Cut a stored full index down to the units of some queries."""
+    small = fits_broadcast(units)
+    entries = lookup_join(index.entries, _wanted(units), UNIT, small, "left_semi")
+    return TextIndex(stage(entries, "index"), index.fields, small)
 
 
-def restrict(index: TextIndex, vocabulary: DataFrame) -> TextIndex:
-    """Cut a stored full index down to the units of some queries."""
-    wanted, small = _wanted_units(vocabulary)
-    entries = lookup_join(index.entries, wanted, ["kind", "unit"], small, "left_semi")
-    return TextIndex(entries, index.fields, small)
+def _wanted(units: DataFrame) -> DataFrame:
+    """Distinct units, and the empty one of the documents' own rows."""
+    own = units.sparkSession.range(1).select(F.lit("").alias("kind"), F.lit("").alias("unit"))
+    return units.select(*UNIT).distinct().union(own)
+
+
+def field_lengths(doc_terms: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(field, n_docs, doc_count, total_len, avg_len); the average is over all documents.
+
+    Lengths need no term counts, so this is one pass without an index.
+    """
+    cells = [F.struct(F.lit(f).alias("field"), F.size(f).alias("dl")) for f in fields]
+    return doc_terms.select(F.inline(F.array(*cells))).groupBy("field").agg(
+        F.count("*").alias("n_docs"),
+        F.count_if(F.col("dl") > 0).alias("doc_count"),
+        F.sum("dl").alias("total_len"),
+        F.avg("dl").alias("avg_len"),
+    )
 
 
 # ---- look-ups --------------------------------------------------------------------------
 
+def field_documents(doc_terms: DataFrame, field: str) -> DataFrame:
+    """(doc_id, terms) of the documents that have the field."""
+    return doc_terms.filter(F.size(field) > 0).select("doc_id", F.col(field).alias("terms"))
+
+
 def field_terms(postings: DataFrame, field: str) -> DataFrame:
     return postings.filter(F.col("field") == field).select("term").distinct()
 
@@ -218,14 +286,19 @@ def term_frequency(postings: DataFrame, field: str, term: str, doc_id) -> DataFr
     )
 
 
-def doc_vector(postings: DataFrame, field: str) -> DataFrame:
+def doc_vectors(postings: DataFrame, field: str) -> DataFrame:
     """(doc_id, term, tf) of one field; documents with an empty field have no rows."""
     return postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
 
 
-def field_lengths(index: TextIndex) -> DataFrame:
-    """Total length and length per document (all documents count) of every field."""
-    return index.field_stats.select(
-        "field", "n_docs", F.col("sum_dl").alias("total_len"),
-        (F.col("sum_dl") / F.col("n_docs")).alias("avg_len"),
+def term_stats(postings: DataFrame) -> DataFrame:
+    """(field, term, df, ttf)."""
+    return postings.groupBy("field", "term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("ttf")
     )
+
+
+def seen_terms(queries: DataFrame, postings: DataFrame, field: str) -> DataFrame:
+    """(query_id, qpos, term) of the query terms some document has in `field`; repeats stay."""
+    terms = queries.select("query_id", F.posexplode("terms").alias("qpos", "term"))
+    return terms.join(field_terms(postings, field), "term", "left_semi").select("query_id", "qpos", "term")

@@ -8,29 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.operators.dependence import MU, dirichlet_mixture
-from termloom.operators.index import TextIndex
+from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import top_k
-from termloom.operators.scorers import UNIT, search, unit_statistics
+from termloom.operators.scorers import background, search, total, unit_statistics
 
+# The fields of an entity document and the depth of the first pass.
 ENTITY_FIELDS = ["names", "description", "attributes", "related_entities", "types", "catch_all"]
+DEPTH = 200
 
 
-def collection_lm(stats: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(field, term, p) for every query term and field, 0 where the field lacks the term."""
-    by_term = stats.groupBy(F.col("unit").alias("term")).agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("field") == f, F.col("ttf") / F.col("sum_dl"))), F.lit(0.0)).alias(f)
-            for f in fields
-        ]
-    )
-    return by_term.unpivot("term", list(fields), "field", "p").select("field", "term", "p")
+def collection_lm(index: TextIndex, units: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """(field, term, p) of every query term and field, 0 where the field lacks the term."""
+    fields = list(fields or index.fields)
+    terms = units.filter(F.col("kind") == "T").select(*UNIT).distinct()
+    zero = F.struct(*[F.lit(0).cast("long").alias(f) for f in index.fields])
+    counted = terms.join(index.unit_stats, UNIT, "left").withColumn("ttf", F.coalesce("ttf", zero))
+    cells = [F.struct(F.lit(f).alias("field"), background(index, f).alias("p")) for f in fields]
+    return counted.select(F.col("unit").alias("term"), F.inline(F.array(*cells))).select("field", "term", "p")
 
 
 def term_mapping(lm: DataFrame) -> DataFrame:
-    """(field, term, p_field): share of each field in the term's probability; 0/0 gives NULL.
-
-    The total is one aggregation by term over the few rows per term, the fields.
-    """
+    """(field, term, p_field): each field's share of the term's probability; 0/0 is NULL."""
     totals = lm.groupBy("term").agg(F.sum("p").alias("total"))
     return lm.join(totals, "term").select(
         "field", "term", F.try_divide("p", "total").alias("p_field")
@@ -45,14 +43,13 @@ def prms(
     pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Query log likelihood with mapped field weights; terms unseen in every field add 0."""
-    stats = unit_statistics(index, units).filter(F.col("field").isin(list(fields)))
-    stats = stats.withColumn("p", F.col("ttf") / F.col("sum_dl"))
-    totals = stats.groupBy("query_id", *UNIT).agg(F.sum("p").alias("total"))
-    stats = stats.join(totals, ["query_id", *UNIT]).select(
-        "query_id", *UNIT, "field",
+    p = {f: background(index, f) for f in fields}
+    every = total(list(p.values()))
+    stats = unit_statistics(index, units).select(
+        "query_id", *UNIT,
         F.col("qf").cast("double").alias("w"),
-        (F.col("p") / F.col("total")).alias("w_f"),
-        "p",
+        F.struct(*[F.try_divide(p[f], every).alias(f) for f in fields]).alias("w_f"),
+        F.struct(*[p[f].alias(f) for f in fields]).alias("p"),
     )
     return dirichlet_mixture(index, stats, list(fields), mu, pairs)
 
@@ -61,7 +58,7 @@ def prms_search(
     index: TextIndex,
     units: DataFrame,
     fields: Sequence[str] = ENTITY_FIELDS,
-    k: int = 200,
+    k: int = DEPTH,
     mu: float = MU,
 ) -> DataFrame:
     """Best `k` documents by first-pass search in `catch_all`, re-ranked by `prms`."""

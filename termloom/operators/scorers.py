@@ -1,10 +1,11 @@
 """Ranked retrieval over the index table.
 
-Every scorer takes an index restricted to the query units and `units(query_id, kind, unit,
-qf)`, and returns (query_id, doc_id, score). Without `pairs` it scores the documents that
-hold at least one query unit; with `pairs(query_id, doc_id)` it scores exactly those,
-matching or not (`all_documents` lists every document for one query). All statistics are
-put on the query side, which is small, so the postings meet one join and one aggregation.
+Every scorer takes an index cut to the query units and `units(query_id, kind, unit, qf)`,
+and returns (query_id, doc_id, score). Without `pairs` it scores the documents that hold at
+least one query unit; with `pairs(query_id, doc_id)` it scores exactly those, matching or
+not (`all_documents` lists every document for one query). Unit statistics are put on the
+query side, so the postings meet one join and one aggregation. The rows of one document lie
+together, so most of that aggregation happens before its shuffle.
 """
 
 from __future__ import annotations
@@ -14,23 +15,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.index import TextIndex
+from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import lookup_join, top_k
 
-UNIT = ["kind", "unit"]
+PAIR = ["query_id", "doc_id"]
 
 
 def unit_statistics(index: TextIndex, units: DataFrame) -> DataFrame:
-    """(query_id, kind, unit, qf, field, df, ttf, n_docs, doc_count, sum_dl), seen units only."""
-    small = index.small_vocabulary
-    found = lookup_join(units, index.unit_stats, UNIT, small, spread_by="query_id")
-    # field_stats has one row per field of the schema, whatever the size of the data
-    return lookup_join(found, index.field_stats, ["field"], small=True)
+    """`units` with `df` and `ttf` (structs over fields); only units the collection has."""
+    return lookup_join(units, index.unit_stats, UNIT, index.small_queries, spread_by="query_id")
 
 
-def matches(index: TextIndex, stats: DataFrame) -> DataFrame:
-    """Postings of every query unit, with the statistics of the unit."""
-    return lookup_join(index.entries, stats, [*UNIT, "field"], index.small_vocabulary)
+def matches(index: TextIndex, stats: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Entries of every query unit that occurs in one of `fields`, with the unit's columns."""
+    here = total([F.col("tf")[f] for f in fields]) > 0
+    return lookup_join(index.entries.filter(here), stats, UNIT, index.small_queries)
 
 
 def all_documents(index: TextIndex, query_id) -> DataFrame:
@@ -38,29 +37,44 @@ def all_documents(index: TextIndex, query_id) -> DataFrame:
     return index.documents.select(F.lit(query_id).alias("query_id"), "doc_id")
 
 
-def _finish(index: TextIndex, sums: DataFrame, pairs: DataFrame | None) -> DataFrame:
-    """Keep or complete the scored documents; unmatched pairs score 0."""
-    if pairs is None:
-        return sums.select("query_id", "doc_id", "score")
-    return pairs.select("query_id", "doc_id").join(
-        sums.select("query_id", "doc_id", "score"), ["query_id", "doc_id"], "left"
-    ).withColumn("score", F.coalesce("score", F.lit(0.0)))
+def total(columns: Sequence[Column]) -> Column:
+    return sum(columns[1:], columns[0])
 
 
-def _sum_per_document(rows: DataFrame, weight: Column) -> DataFrame:
-    return rows.groupBy("query_id", "doc_id").agg(F.sum(weight).alias("score"))
+def background(index: TextIndex, field: str) -> Column:
+    """P(t|C) of a unit in a field, from its statistics; 0 in an empty collection."""
+    length = index.stats.total_len[field]
+    return F.col("ttf")[field] / F.lit(float(length)) if length else F.lit(0.0)
+
+
+def per_document(index: TextIndex, rows: DataFrame, weight: Column, pairs: DataFrame | None) -> DataFrame:
+    """Sum the weights; listed pairs without a match get 0."""
+    sums = rows.groupBy(*PAIR).agg(F.sum(weight).alias("score"))
+    return sums if pairs is None else complete(pairs, sums)
+
+
+def complete(pairs: DataFrame, sums: DataFrame) -> DataFrame:
+    return pairs.select(*PAIR).join(sums, PAIR, "left").fillna(0.0, ["score"])
+
+
+def add_base(index: TextIndex, scored: DataFrame, base: DataFrame) -> DataFrame:
+    """Add the part of the score that all documents of a query share."""
+    return lookup_join(scored, base, ["query_id"], index.small_queries, "left").select(
+        *PAIR, (F.col("score") + F.coalesce("base", F.lit(0.0))).alias("score")
+    )
 
 
 # ---- term counting and BM25 ------------------------------------------------------------
 
 def simple(index: TextIndex, units: DataFrame, field: str = "body", pairs: DataFrame | None = None) -> DataFrame:
-    rows = matches(index, unit_statistics(index, units).filter(F.col("field") == field))
-    return _finish(index, _sum_per_document(rows, (F.col("tf") * F.col("qf")).cast("double")), pairs)
+    """Sum of tf * qf."""
+    rows = matches(index, units, [field])
+    return per_document(index, rows, (F.col("tf")[field] * F.col("qf")).cast("double"), pairs)
 
 
-def _saturated(k1: float, b: float, average_dl: Column) -> Column:
-    norm = 1 - b + b * F.col("dl") / average_dl
-    return F.col("tf") * (1 + k1) / (F.col("tf") + k1 * norm)
+def saturated(field: str, k1: float, b: float, average_dl: float) -> Column:
+    tf, norm = F.col("tf")[field], 1 - b + b * F.col("lens")[field] / F.lit(average_dl)
+    return tf * (1 + k1) / (tf + k1 * norm)
 
 
 def bm25(
@@ -72,9 +86,9 @@ def bm25(
     pairs: DataFrame | None = None,
 ) -> DataFrame:
     """BM25 with idf ln(N/n); repeated query terms count once."""
-    rows = matches(index, unit_statistics(index, units).filter(F.col("field") == field))
-    weight = _saturated(k1, b, F.col("sum_dl") / F.col("n_docs")) * F.log(F.col("n_docs") / F.col("df"))
-    return _finish(index, _sum_per_document(rows, weight), pairs)
+    rows = matches(index, unit_statistics(index, units), [field])
+    idf = F.log(F.lit(float(index.stats.n_docs)) / F.col("df")[field])
+    return per_document(index, rows, saturated(field, k1, b, index.stats.avg_len(field)) * idf, pairs)
 
 
 def search(
@@ -85,21 +99,23 @@ def search(
     b: float = 0.75,
     k1: float = 1.2,
 ) -> DataFrame:
-    """First-pass OR search: the best field's BM25 with idf ln(1+(N-n+.5)/(n+.5)), top k.
+    """First-pass OR search: the best field's BM25 with idf ln(1+(N-n+.5)/(n+.5)), top `k`.
 
     N and the average length count the documents that have the field; repeated query terms
     count as often as they occur.
     """
-    rows = matches(index, unit_statistics(index, units).filter(F.col("field").isin(list(fields))))
-    n, df = F.col("doc_count"), F.col("df")
-    weight = (
-        F.col("qf")
-        * F.log(1 + (n - df + 0.5) / (df + 0.5))
-        * _saturated(k1, b, F.col("sum_dl") / n)
-    )
-    per_field = [F.coalesce(F.sum(F.when(F.col("field") == f, weight)), F.lit(0.0)) for f in fields]
-    best = F.greatest(*per_field) if len(per_field) > 1 else per_field[0]
-    return top_k(rows.groupBy("query_id", "doc_id").agg(best.alias("score")), k)
+    def field_score(f: str) -> Column:
+        n, df = index.stats.doc_count[f], F.col("df")[f]
+        if not n:
+            return F.lit(0.0)
+        idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
+        weight = F.col("qf") * idf * saturated(f, k1, b, index.stats.total_len[f] / n)
+        return F.sum(F.when(F.col("tf")[f] > 0, weight).otherwise(0.0))
+
+    rows = matches(index, unit_statistics(index, units), fields)
+    scores = [field_score(f) for f in fields]
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return top_k(rows.groupBy(*PAIR).agg(best.alias("score")), k)
 
 
 def bm25f(
@@ -114,27 +130,17 @@ def bm25f(
     """BM25F; idf comes from `idf_field`, and a term unseen there adds 0."""
     weights = weights or {"title": 0.2, "body": 0.8}
     b = b or dict.fromkeys(weights, 0.75)
-    stats = unit_statistics(index, units).filter(F.col("field").isin(list(weights)))
-    idf = stats.filter(F.col("field") == idf_field).select(
-        "query_id", *UNIT, F.log(F.col("n_docs") / F.col("df")).alias("idf")
-    )
-    stats = stats.join(idf, ["query_id", *UNIT], "left").withColumn("idf", F.coalesce("idf", F.lit(0.0)))
-    w, b_f = _by_field(weights), _by_field(b)
-    norm = 1 - b_f + b_f * F.col("dl") / (F.col("sum_dl") / F.col("n_docs"))
-    folded = (
-        matches(index, stats)
-        .repartition("query_id", "doc_id")  # serves both aggregations below
-        .groupBy("query_id", "doc_id", *UNIT, "idf")
-        .agg(F.sum(w * F.col("tf") / norm).alias("c"))
-    )
-    return _finish(index, _sum_per_document(folded, F.col("c") / (k1 + F.col("c")) * F.col("idf")), pairs)
 
+    def field_count(f: str) -> Column:
+        average = index.stats.avg_len(f)
+        if not average:
+            return F.lit(0.0)
+        return weights[f] * F.col("tf")[f] / (1 - b[f] + b[f] * F.col("lens")[f] / F.lit(average))
 
-def _by_field(values: Mapping[str, float]) -> Column:
-    chosen = F.lit(None).cast("double")
-    for field, value in values.items():
-        chosen = F.when(F.col("field") == field, F.lit(float(value))).otherwise(chosen)
-    return chosen
+    rows = matches(index, unit_statistics(index, units), list(weights))
+    count, df = total([field_count(f) for f in weights]), F.col("df")[idf_field]
+    idf = F.when(df > 0, F.log(F.lit(float(index.stats.n_docs)) / df)).otherwise(0.0)
+    return per_document(index, rows, count / (k1 + count) * idf, pairs)
 
 
 # ---- language models, Jelinek-Mercer ---------------------------------------------------
@@ -160,40 +166,18 @@ def mixture_lm(
     """Mixture of smoothed field models: sum of qf * ln(sum_f w_f((1-s) tf/dl + s p_f)).
 
     A document that lacks a term gets that term's background, which is the same for all
-    documents. So the score is one number per query plus a correction per matching term:
+    documents. So the score is one number per query plus a gain per matching term:
     ln(m + bg) = ln(bg) + ln(1 + m/bg). Terms the collection lacks add 0.
     """
     weights = weights or {"title": 0.2, "body": 0.8}
-    w, s = _by_field(weights), smoothing
-    stats = unit_statistics(index, units).filter(F.col("field").isin(list(weights)))
-    background = stats.groupBy("query_id", *UNIT, "qf").agg(
-        F.sum(w * s * F.col("ttf") / F.col("sum_dl")).alias("bg")
-    )
-    base = query_base(background, F.col("qf") * F.log("bg"))
-    known = stats.select("query_id", *UNIT, "field").join(background, ["query_id", *UNIT]).join(base, "query_id")
-    folded = (
-        matches(index, known)
-        .repartition("query_id", "doc_id")  # serves both aggregations below
-        .groupBy("query_id", "doc_id", *UNIT, "qf", "bg", "base")
-        .agg(F.sum(w * (1 - s) * F.col("tf") / F.col("dl")).alias("m"))
-    )
-    sums = folded.groupBy("query_id", "doc_id", "base").agg(
-        F.sum(F.col("qf") * F.log1p(F.col("m") / F.col("bg"))).alias("gain")
-    )
-    scored = sums.withColumn("score", F.col("base") + F.col("gain"))
-    if pairs is None:
-        return _finish(index, scored, None)
-    return (
-        pairs.select("query_id", "doc_id")
-        .join(scored.select("query_id", "doc_id", "gain"), ["query_id", "doc_id"], "left")
-        .join(base, "query_id", "left")
-        .select(
-            "query_id", "doc_id",
-            (F.coalesce("base", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0))).alias("score"),
-        )
-    )
-
-
-def query_base(background: DataFrame, value: Column) -> DataFrame:
-    """The part of a score that every document of a query shares."""
-    return background.groupBy("query_id").agg(F.sum(value).alias("base"))
+    bg = total([weights[f] * smoothing * background(index, f) for f in weights])
+    stats = unit_statistics(index, units).select("query_id", *UNIT, "qf", bg.alias("bg")).filter("bg > 0")
+    base = stats.groupBy("query_id").agg(F.sum(F.col("qf") * F.log("bg")).alias("base"))
+    own = total([
+        F.when(
+            F.col("lens")[f] > 0, weights[f] * (1 - smoothing) * F.col("tf")[f] / F.col("lens")[f]
+        ).otherwise(0.0)
+        for f in weights
+    ])
+    gain = F.col("qf") * F.log1p(own / F.col("bg"))
+    return add_base(index, per_document(index, matches(index, stats, list(weights)), gain, pairs), base)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.analysis import Analyzer, english_terms, index_terms
+from termloom.operators.entities import COMMENT_PREDICATE, NAME_PREDICATES, TYPE_PREDICATE, TYPE_PREDICATES
 from termloom.operators.index import TextIndex, analyzed, build_index, query_units
+from termloom.operators.ltr import id_split
 
 SPLIT_BYTES = 128 * 1024 * 1024
 FIELDS = ["title", "body", "anchors"]
@@ -16,6 +18,8 @@ MIN_SENTENCE = 20
 RESOURCE = "http://example.org/resource/"
 ONTOLOGY = "http://example.org/ontology/"
 PROPERTY = "http://example.org/property/"
+LABEL, NAME = NAME_PREDICATES[:2]
+SUBJECT = TYPE_PREDICATES[1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,4 +99,78 @@ def index_for(
     """Index of the documents cut to the units of all benchmark queries, and those units."""
     units = query_units(queries(spark, sf_dir, analyzer), kinds, count_rule)
     doc_terms = analyzed(documents(spark, sf_dir), fields, analyzer)
-    return build_index(doc_terms, fields, kinds, count_rule=count_rule, vocabulary=units), units
+    return build_index(doc_terms, fields, kinds, count_rule=count_rule, units=units), units
+
+
+def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(subject, predicate, object, object_type) from parts, suppliers, customers, nations."""
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    supplied = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    lit, text = F.lit, lambda c: F.col(c).cast("string")
+
+    def fact(predicate: str, value, kind: str):
+        return F.struct(
+            lit(predicate).alias("predicate"), value.alias("object"), lit(kind).alias("object_type")
+        )
+
+    def facts(rows: DataFrame, prefix: str, key: str, *found) -> DataFrame:
+        subject = F.concat(lit(RESOURCE + prefix), text(key)).alias("subject")
+        return rows.select(subject, F.inline(F.array(*found)))
+
+    comment = F.concat_ws(" ", "p_name", lit("made by"), "p_brand", lit("of size"), text("p_size"))
+    nation_uri = F.concat(lit(RESOURCE), "n_name")
+    parts = facts(
+        part, "Part_", "p_partkey",
+        fact(LABEL, F.col("p_name"), "literal"),
+        fact(COMMENT_PREDICATE, comment, "literal"),
+        fact(TYPE_PREDICATE, lit(ONTOLOGY + "Part"), "uri"),
+        fact(TYPE_PREDICATE, F.concat(lit(ONTOLOGY), "p_type"), "uri"),
+        fact(SUBJECT, F.concat(lit(RESOURCE + "Category:"), "p_brand", lit("_parts")), "uri"),
+        fact(PROPERTY + "brand", F.col("p_brand"), "literal"),
+        fact(PROPERTY + "size", text("p_size"), "literal"),
+    )
+    links = facts(
+        supplied, "Part_", "l_partkey",
+        fact(PROPERTY + "supplier", F.concat(lit(RESOURCE + "Supplier_"), text("l_suppkey")), "uri"),
+    )
+    suppliers = facts(
+        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")), "Supplier_", "s_suppkey",
+        fact(NAME, F.col("s_name"), "literal"),
+        fact(TYPE_PREDICATE, lit(ONTOLOGY + "Supplier"), "uri"),
+        fact(PROPERTY + "nation", nation_uri, "uri"),
+    )
+    customers = facts(
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")), "Customer_", "c_custkey",
+        fact(NAME, F.col("c_name"), "literal"),
+        fact(TYPE_PREDICATE, lit(ONTOLOGY + "Customer"), "uri"),
+        fact(SUBJECT, F.concat(lit(RESOURCE + "Category:"), "c_mktsegment"), "uri"),
+        fact(PROPERTY + "nation", nation_uri, "uri"),
+    )
+    return parts.union(links).union(suppliers).union(customers)
+
+
+def entity_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, terms): every part name, with one of its types."""
+    names = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_type").alias("p_type"))
+    return names.select(
+        F.col("p_name").alias("query_id"),
+        english_terms(F.concat_ws(" ", "p_name", "p_type")).alias("terms"),
+    )
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page, link): pages named by the first word of their title, with their link targets."""
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    return pages.select(
+        F.concat(F.lit("/"), F.regexp_extract("html", "<title>([^ <]*)", 1)).alias("page"),
+        F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("link"),
+    )
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, label, is_train): labelled documents; low quality is the positive class."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    split = id_split(labels, "doc_id").select("doc_id", "is_train")
+    return docs.join(labels, "doc_id").join(split, "doc_id")

@@ -21,7 +21,7 @@ def score(term_docs, term_queries):
     def run(scorer, text, docs=SINGLE, fields=("body",), kinds="T", rule="pairs", every=False, **kw):
         units = query_units(term_queries({"q": text}), kinds, rule)
         index = build_index(
-            term_docs(docs, list(fields)), list(fields), kinds, count_rule=rule, vocabulary=units
+            term_docs(docs, list(fields)), list(fields), kinds, count_rule=rule, units=units
         )
         pairs = scorers.all_documents(index, "q") if every else None
         return {r.doc_id: r.score for r in scorer(index, units, pairs=pairs, **kw).collect()}
@@ -158,10 +158,10 @@ def test_salted_join_equals_broadcast_join(term_docs, term_queries, monkeypatch)
 
     units = query_units(term_queries({"q": "t3 t1 t3 t2", "p": "t5 t6"}))
     docs = term_docs(SINGLE, ["body"])
-    small = scorers.bm25(build_index(docs, ["body"], vocabulary=units), units)
+    small = scorers.bm25(build_index(docs, ["body"], units=units), units)
     monkeypatch.setattr(index_module, "fits_broadcast", lambda df: False)
-    index = build_index(docs, ["body"], vocabulary=units)
-    assert not index.small_vocabulary
+    index = build_index(docs, ["body"], units=units)
+    assert not index.small_queries
     large = scorers.bm25(index, units)
     key = lambda r: (r.query_id, r.doc_id, round(r.score, 9))
     assert sorted(map(key, small.collect())) == sorted(map(key, large.collect()))
