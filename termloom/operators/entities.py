@@ -129,29 +129,34 @@ def entity_index(
     """Index of the fielded entities, straight from the triples.
 
     Terms are counted per triple and summed per entity, so no entity's text is ever put
-    together; each value counts for its own field and for `catch_all`.
+    together; each value counts for its own field and for `catch_all`. Every value also
+    adds its length under the empty unit, so counts and lengths come out of one pass.
     """
     values = folded(of_type(triples, target)).select(
         F.col("entity_id").alias("doc_id"), "field", analyzer(F.col("object")).alias("terms")
     )
-    sizes = [
-        F.coalesce(F.sum(F.when(F.col("field") == f, F.size("terms"))), F.lit(0)).alias(f)
-        for f in ENTITY_FIELDS if f != "catch_all"
-    ]
-    lens = values.groupBy("doc_id").agg(F.struct(*sizes, F.sum(F.size("terms")).alias("catch_all")).alias("lens"))
-    words = values.select("doc_id", "field", F.explode("terms").alias("unit")).withColumn("kind", F.lit("T"))
+    length = F.struct(F.lit("").alias("kind"), F.lit("").alias("unit"), F.size("terms").alias("n"))
+    words = F.transform(
+        "terms", lambda t: F.struct(F.lit("T").alias("kind"), t.alias("unit"), F.lit(1).alias("n"))
+    )
+    counted = values.select("doc_id", "field", F.inline(F.concat(F.array(length), words)))
     small = fits_broadcast(units)
     if small:
-        words = lookup_join(words, _wanted(units), UNIT, True, "left_semi")
+        counted = lookup_join(counted, _wanted(units), UNIT, True, "left_semi")
     counts = [
-        F.count_if(F.col("field") == f).alias(f) for f in ENTITY_FIELDS if f != "catch_all"
+        F.coalesce(F.sum(F.when(F.col("field") == f, F.col("n"))), F.lit(0)).alias(f)
+        for f in ENTITY_FIELDS if f != "catch_all"
     ]
-    tf = words.groupBy("doc_id", *UNIT).agg(F.struct(*counts, F.count("*").alias("catch_all")).alias("tf"))
+    sums = counted.groupBy("doc_id", *UNIT).agg(F.struct(*counts, F.sum("n").alias("catch_all")).alias("tf"))
     if not small:
-        tf = lookup_join(tf, _wanted(units), UNIT, False, "left_semi")
+        sums = lookup_join(sums, _wanted(units), UNIT, False, "left_semi")
+    sums = stage(sums, "entity-counts")
+    own = F.col("unit") == ""
+    lens = sums.filter(own).select("doc_id", F.col("tf").alias("lens"))
     nothing = F.struct(*[F.lit(0).cast("long").alias(f) for f in ENTITY_FIELDS])
-    own = lens.select("doc_id", "lens", F.lit("").alias("kind"), F.lit("").alias("unit"), nothing.alias("tf"))
-    entries = tf.join(lens, "doc_id").select("doc_id", "lens", *UNIT, "tf").unionByName(own)
+    entries = sums.join(lens, "doc_id").select(
+        "doc_id", "lens", *UNIT, F.when(own, nothing).otherwise(F.col("tf")).alias("tf")
+    )
     return TextIndex(stage(entries, "entities"), tuple(ENTITY_FIELDS), small)
 
 

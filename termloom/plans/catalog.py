@@ -32,7 +32,7 @@ MIN_REPEATS = 60
 VOCABULARY = ["and", "the", "of", "The", "la", "de", "und", "der", "que", "pour"]
 LOOKUP = ("body", "la")
 LINK_PREFIX = "/Th"
-SPAM_FEATURES = 1 << 16
+SPAM_FEATURES, SPAM_ITERATIONS = 1 << 16, 40
 KIND = {"unigram": "T", "ordered": "O", "unordered": "U"}
 
 
@@ -301,7 +301,7 @@ def tfidf(spark, sf_dir):
 
 def spam_eval(spark, sf_dir):
     docs = c.labelled_documents(spark, sf_dir)
-    model = textclf.train(docs.filter("is_train"), num_features=SPAM_FEATURES)
+    model = textclf.train(docs.filter("is_train"), max_iter=SPAM_ITERATIONS, num_features=SPAM_FEATURES)
     return metrics.evaluate(textclf.predict(model, docs.filter("not is_train")))
 
 
