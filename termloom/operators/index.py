@@ -159,13 +159,18 @@ class TextIndex:
         ]
         return rows.select("doc_id", *extra, F.inline(F.array(*cells)))
 
-    @property
+    @cached_property
     def unit_stats(self) -> DataFrame:
-        """(kind, unit, df, ttf): documents and occurrences per field, as structs."""
-        return self.entries.filter(F.col("unit") != "").groupBy(*UNIT).agg(
+        """(kind, unit, df, ttf): documents and occurrences per field, as structs.
+
+        Staged, because most scorers need it both for the query's share of the score and
+        for the matches.
+        """
+        counted = self.entries.filter(F.col("unit") != "").groupBy(*UNIT).agg(
             F.struct(*[F.count_if(F.col("tf")[f] > 0).alias(f) for f in self.fields]).alias("df"),
             F.struct(*[F.sum(F.col("tf")[f]).alias(f) for f in self.fields]).alias("ttf"),
         )
+        return stage(counted, "unit-stats")
 
     @property
     def field_stats(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.operators.index import UNIT, TextIndex
@@ -15,6 +15,7 @@ from termloom.operators.staging import stage
 
 FIELDS = ["title", "body"]
 FIRST_PASS = 100
+TRAIN_SHARE = 80
 
 # Names and order of the features.
 QUERY_FEATURES = ["query_length", "query_sum_idf", "query_max_idf", "query_avg_idf"]
@@ -102,9 +103,12 @@ def training_pairs(retrieved: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def training_data(index: TextIndex, units: DataFrame, truth: DataFrame, k: int = FIRST_PASS) -> DataFrame:
-    """(query_id, doc_id, label, 14 features) over the queries of `units`."""
+    """(query_id, doc_id, label, 14 features) over the queries of `units`.
+
+    The pairs are staged: matching, features and labels all start from them.
+    """
     truth = truth.join(units.select("query_id").distinct(), "query_id", "left_semi")
-    pairs = training_pairs(first_pass(index, units, k), truth)
+    pairs = stage(training_pairs(first_pass(index, units, k), truth), "pairs")
     return feature_matrix(index, units, pairs).join(pairs, PAIR).select(*PAIR, "label", *FEATURES)
 
 
@@ -129,15 +133,16 @@ def rerank(model: Model, features: DataFrame) -> DataFrame:
     return scored.select("query_id", F.row_number().over(order).alias("rank"), "doc_id", "score")
 
 
-def id_split(ids: DataFrame, key: str = "query_id", train_share: int = 80) -> DataFrame:
-    """(key, bucket, is_train): a fixed pseudo-random split by the md5 of the id.
-
-    Reproducible on any engine and without shuffling or collecting the ids.
-    """
+def split_bucket(key: str) -> Column:
+    """0 to 99 from the md5 of an id: pseudo-random, the same on any engine."""
     digest = F.md5(F.col(key).cast("string"))
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100))
-    return ids.select(
-        key, bucket.cast("int").alias("bucket"), (bucket < train_share).alias("is_train")
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100)).cast("int")
+
+
+def id_split(ids: DataFrame, key: str = "query_id", train_share: int = TRAIN_SHARE) -> DataFrame:
+    """(key, bucket, is_train): a fixed split, made without shuffling or collecting the ids."""
+    return ids.select(key, split_bucket(key).alias("bucket")).withColumn(
+        "is_train", F.col("bucket") < train_share
     )
 
 

@@ -11,6 +11,7 @@ from termloom.operators.dependence import MU, dirichlet_mixture
 from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import top_k
 from termloom.operators.scorers import background, search, total, unit_statistics
+from termloom.operators.staging import stage
 
 # The fields of an entity document and the depth of the first pass.
 ENTITY_FIELDS = ["names", "description", "attributes", "related_entities", "types", "catch_all"]
@@ -62,5 +63,5 @@ def prms_search(
     mu: float = MU,
 ) -> DataFrame:
     """Best `k` documents by first-pass search in `catch_all`, re-ranked by `prms`."""
-    candidates = search(index, units, ["catch_all"], k)
+    candidates = stage(search(index, units, ["catch_all"], k), "candidates")
     return top_k(prms(index, units, fields, mu, candidates), k)

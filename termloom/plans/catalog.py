@@ -24,6 +24,7 @@ from termloom.operators import (
     textclf,
 )
 from termloom.operators.joins import top_k
+from termloom.operators.staging import stage
 from termloom.plans import collection as c
 
 TITLE_BODY = ["title", "body"]
@@ -36,9 +37,9 @@ SPAM_FEATURES, SPAM_ITERATIONS = 1 << 16, 40
 KIND = {"unigram": "T", "ordered": "O", "unordered": "U"}
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    """Six decimals: sums of doubles differ in their last bits between plans."""
-    return df.withColumns({n: F.round(n, 6) for n in names})
+def rounded(df: DataFrame, *names: str, decimals: int = 6) -> DataFrame:
+    """Fixed decimals: sums of doubles differ in their last bits between plans."""
+    return df.withColumns({n: F.round(n, decimals) for n in names})
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,13 +133,17 @@ def _scored(scorer, fields, kinds="T", **params):
 
 
 def _every_document(scorer, fields, kinds="T"):
-    """All benchmark texts as a single query, which scores every document."""
+    """All benchmark texts as a single query, which scores every document.
+
+    These scores add up a thousand logarithms and more, to about -10000, so they are given
+    to four decimals.
+    """
 
     def run(spark, sf_dir):
         idx, units = c.index_for(spark, sf_dir, fields, kinds)
         one = units.groupBy(F.lit(0).cast("long").alias("query_id"), *index.UNIT).agg(F.sum("qf").alias("qf"))
         every = scorers.all_documents(idx, 0).withColumn("query_id", F.col("query_id").cast("long"))
-        return rounded(scorer(idx, one, pairs=every), "score")
+        return rounded(scorer(idx, one, pairs=every), "score", decimals=4)
 
     return run
 
@@ -222,7 +227,8 @@ def qrels_relevant(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir):
-    return bm25_top(spark, sf_dir, 100), qrels_relevant(spark, sf_dir)
+    run, truth = bm25_top(spark, sf_dir, 100), qrels_relevant(spark, sf_dir)
+    return stage(run, "run"), stage(truth, "truth")
 
 
 def _measured(measure):
@@ -260,7 +266,7 @@ def ltr_pair_feats(spark, sf_dir):
 
 def ltr_matrix(spark, sf_dir):
     idx, units = _ltr_index(spark, sf_dir)
-    features = ltr.feature_matrix(idx, units, ltr.first_pass(idx, units))
+    features = ltr.feature_matrix(idx, units, stage(ltr.first_pass(idx, units), "pairs"))
     return rounded(features, *ltr.QUERY_FEATURES[1:], "avg_TF_title", "avg_TF_body")
 
 
@@ -284,7 +290,7 @@ def ltr_rerank(spark, sf_dir):
         return units.join(ltr.capped_ids(split, is_train, cap), "query_id", "left_semi")
 
     model = ltr.fit(ltr.training_data(idx, side(True, 800), truth))
-    retrieved = ltr.first_pass(idx, side(False, 100))
+    retrieved = stage(ltr.first_pass(idx, side(False, 100)), "pairs")
     features = ltr.feature_matrix(idx, units, retrieved)
     before = metrics.mean_measure(retrieved, truth, metrics.reciprocal_rank)
     after = metrics.mean_measure(ltr.rerank(model, features), truth, metrics.reciprocal_rank)
@@ -294,9 +300,7 @@ def ltr_rerank(spark, sf_dir):
 
 
 def tfidf(spark, sf_dir):
-    docs = _texts(spark, sf_dir)
-    split = ltr.id_split(c.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "is_train")
-    return rounded(textclf.tfidf(docs.join(split, "doc_id")), "weight")
+    return rounded(textclf.tfidf(c.split_documents(spark, sf_dir)), "weight")
 
 
 def spam_eval(spark, sf_dir):

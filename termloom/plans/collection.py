@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from termloom.functions.analysis import Analyzer, english_terms, index_terms
 from termloom.operators.entities import COMMENT_PREDICATE, NAME_PREDICATES, TYPE_PREDICATE, TYPE_PREDICATES
 from termloom.operators.index import TextIndex, analyzed, build_index, query_units
-from termloom.operators.ltr import id_split
+from termloom.operators.joins import fits_broadcast, lookup_join
+from termloom.operators.ltr import TRAIN_SHARE, split_bucket
 
 SPLIT_BYTES = 128 * 1024 * 1024
 FIELDS = ["title", "body", "anchors"]
@@ -57,13 +58,12 @@ def queries(spark: SparkSession, sf_dir: str, analyzer: Analyzer = index_terms)
 
 
 def sentences(df: DataFrame, key: str) -> DataFrame:
-    """Distinct (key, sentence) with sentences of at least 20 characters."""
+    """(key, sentence) with sentences of at least 20 characters."""
     parts = F.explode(F.split("text", SENTENCE_END)).alias("sentence")
     return (
         df.select(key, parts)
         .select(key, F.trim("sentence").alias("sentence"))
         .filter(F.length("sentence") >= MIN_SENTENCE)
-        .distinct()
     )
 
 
@@ -75,9 +75,10 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    asked = sentences(items, "query_id").distinct()
     shared = (
-        sentences(docs, "doc_id")
-        .join(sentences(items, "query_id"), "sentence")
+        lookup_join(sentences(docs, "doc_id"), asked, ["sentence"], fits_broadcast(asked))
+        .distinct()
         .groupBy("query_id", "doc_id")
         .agg(F.count("*").alias("shared"))
     )
@@ -171,6 +172,10 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, label, is_train): labelled documents; low quality is the positive class."""
     labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
+    return split_documents(spark, sf_dir).join(labels, "doc_id")
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, is_train)."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    split = id_split(labels, "doc_id").select("doc_id", "is_train")
-    return docs.join(labels, "doc_id").join(split, "doc_id")
+    return docs.withColumn("is_train", split_bucket("doc_id") < TRAIN_SHARE)

@@ -114,6 +114,7 @@ def _weights(weights, column="field") -> str:
 
 
 ROUND = "SELECT query_id, doc_id, round(score, 6) AS score FROM s"
+ROUND_LONG = "SELECT query_id, doc_id, round(score, 4) AS score FROM s"
 
 BM25 = """
     s AS (SELECT query_id, doc_id,
@@ -376,9 +377,9 @@ def oracle_sql() -> dict[str, str]:
                   GROUP BY ALL)
             {ROUND}""",
         "lm_every_document": f"""{_scored(['body'])}, {ONE_QUERY},
-            {_for_every_document(_jm({'body': 1.0}), 'qf')} {ROUND}""",
+            {_for_every_document(_jm({'body': 1.0}), 'qf')} {ROUND_LONG}""",
         "sdm_every_document": f"""{_scored(['body'], 'TOU')}, {ONE_QUERY},
-            {_for_every_document(_dirichlet({}), SDM_WEIGHT)} {ROUND}""",
+            {_for_every_document(_dirichlet({}), SDM_WEIGHT)} {ROUND_LONG}""",
         "sdm_total": f"{_scored(['body'], 'TOU')}, {_mixture(_dirichlet({}), SDM_WEIGHT)} {ROUND}",
         "sdm_anchored": f"{_scored(['body'], 'U', 'anchored')}, {_mixture(_dirichlet({}), 'qf')} {ROUND}",
         "fsdm_total": f"{_scored(c.FIELDS, 'TOU')}, {_mixture(_dirichlet(FSDM_FIELDS), SDM_WEIGHT)} {ROUND}",
