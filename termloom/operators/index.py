@@ -199,8 +199,12 @@ def build_index(
     window: int = 3,
     count_rule: str = "pairs",
     units: DataFrame | None = None,
+    staged: bool = True,
 ) -> TextIndex:
-    """Count units per document and stage the result.
+    """Count units per document and field.
+
+    The result is staged for the several reads a scorer makes; `staged=False` leaves it
+    lazy for plans that read it once.
 
     With `units(query_id, kind, unit, qf)` only the units of those queries are kept. When
     that table fits a broadcast, other occurrences are dropped before the shuffle;
@@ -239,7 +243,7 @@ def build_index(
     entries = occurrences.groupBy("doc_id", "lens", *UNIT).agg(F.struct(*in_field).alias("tf"))
     if units is not None and not small:
         entries = lookup_join(entries, _wanted(units), UNIT, False, "left_semi")
-    return TextIndex(stage(entries, "index"), tuple(fields), small)
+    return TextIndex(stage(entries, "index") if staged else entries, tuple(fields), small)
 
 
 def restrict(index: TextIndex, units: DataFrame) -> TextIndex:
@@ -255,6 +259,11 @@ def _wanted(units: DataFrame) -> DataFrame:
     return units.select(*UNIT).distinct().union(own)
 
 
+def document_lengths(doc_terms: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(doc_id, lens) straight from the analysed documents."""
+    return doc_terms.select("doc_id", F.struct(*[F.size(f).alias(f) for f in fields]).alias("lens"))
+
+
 def field_lengths(doc_terms: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, n_docs, doc_count, total_len, avg_len); the average is over all documents.
 

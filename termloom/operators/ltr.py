@@ -48,8 +48,9 @@ def query_features(index: TextIndex, units: DataFrame) -> DataFrame:
     )
 
 
-def doc_features(index: TextIndex) -> DataFrame:
-    return index.documents.select(
+def doc_features(documents: DataFrame) -> DataFrame:
+    """(doc_id, lengths) from `documents(doc_id, lens)`."""
+    return documents.select(
         "doc_id", *[F.col("lens")[f].alias(f"doc_length_{f}") for f in FIELDS]
     )
 
@@ -86,7 +87,7 @@ def feature_matrix(index: TextIndex, units: DataFrame, pairs: DataFrame) -> Data
     """(query_id, doc_id, 14 features in fixed order) of the given pairs."""
     by_pair = pair_features(index, units, pairs)
     by_query = lookup_join(by_pair, query_features(index, units), ["query_id"], index.small_queries, "left")
-    return by_query.join(doc_features(index), "doc_id").select(*PAIR, *FEATURES)
+    return by_query.join(doc_features(index.documents), "doc_id").select(*PAIR, *FEATURES)
 
 
 def first_pass(index: TextIndex, units: DataFrame, k: int = FIRST_PASS) -> DataFrame:

@@ -33,7 +33,7 @@ MIN_REPEATS = 60
 VOCABULARY = ["and", "the", "of", "The", "la", "de", "und", "der", "que", "pour"]
 LOOKUP = ("body", "la")
 LINK_PREFIX = "/Th"
-SPAM_FEATURES, SPAM_ITERATIONS = 1 << 16, 40
+SPAM_FEATURES, SPAM_ITERATIONS = 1 << 16, 25
 KIND = {"unigram": "T", "ordered": "O", "unordered": "U"}
 
 
@@ -89,8 +89,8 @@ def english_tokens(spark, sf_dir):
 
 # ---- index -----------------------------------------------------------------------------
 
-def _full_index(spark, sf_dir, fields=TITLE_BODY) -> index.TextIndex:
-    return index.build_index(index.analyzed(c.documents(spark, sf_dir), fields), fields)
+def _full_index(spark, sf_dir, fields=TITLE_BODY, staged=False) -> index.TextIndex:
+    return index.build_index(index.analyzed(c.documents(spark, sf_dir), fields), fields, staged=staged)
 
 
 def index_postings(spark, sf_dir):
@@ -110,7 +110,7 @@ def doc_vectors(spark, sf_dir):
 
 
 def term_stats(spark, sf_dir):
-    idx = _full_index(spark, sf_dir)
+    idx = _full_index(spark, sf_dir, staged=True)
     counts = index.term_stats(idx.postings)
     return rounded(counts.withColumn("idf", idf(F.lit(idx.stats.n_docs), F.col("df"))), "idf")
 
@@ -254,8 +254,8 @@ def ltr_query_feats(spark, sf_dir):
 
 
 def ltr_doc_feats(spark, sf_dir):
-    idx, _ = _ltr_index(spark, sf_dir)
-    return ltr.doc_features(idx)
+    docs = index.analyzed(c.documents(spark, sf_dir), TITLE_BODY, english_terms)
+    return ltr.doc_features(index.document_lengths(docs, TITLE_BODY))
 
 
 def ltr_pair_feats(spark, sf_dir):
