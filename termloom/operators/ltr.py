@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,7 +118,7 @@ def fit(training: DataFrame, regressor: Estimator | None = None) -> Model:
 
     The training rows are staged because fitting reads them many times.
     """
-    regressor = regressor or GBTRegressor(maxIter=10, maxDepth=3, seed=42)
+    regressor = regressor or RandomForestRegressor(numTrees=50, maxDepth=8, seed=42)
     return regressor.fit(_assembled(stage(training, "training")))
 
 

@@ -33,8 +33,13 @@ def matches(index: TextIndex, stats: DataFrame, fields: Sequence[str]) -> DataFr
 
 
 def all_documents(index: TextIndex, query_id) -> DataFrame:
-    """(query_id, doc_id) of every document for one query."""
-    return index.documents.select(F.lit(query_id).alias("query_id"), "doc_id")
+    """(query_id, doc_id) of every document for one query.
+
+    The id hangs on the document: as a plain constant it would drop out of the join keys
+    and leave a nested-loop join.
+    """
+    attached = F.when(F.col("doc_id").isNotNull(), F.lit(query_id))
+    return index.documents.select(attached.alias("query_id"), "doc_id")
 
 
 def total(columns: Sequence[Column]) -> Column:

@@ -141,7 +141,8 @@ def _every_document(scorer, fields, kinds="T"):
 
     def run(spark, sf_dir):
         idx, units = c.index_for(spark, sf_dir, fields, kinds)
-        one = units.groupBy(F.lit(0).cast("long").alias("query_id"), *index.UNIT).agg(F.sum("qf").alias("qf"))
+        merged = units.groupBy(*index.UNIT).agg(F.sum("qf").alias("qf"))
+        one = stage(merged.withColumn("query_id", F.lit(0).cast("long")), "query")
         every = scorers.all_documents(idx, 0).withColumn("query_id", F.col("query_id").cast("long"))
         return rounded(scorer(idx, one, pairs=every), "score", decimals=4)
 
