@@ -46,6 +46,28 @@ def lookup_join(
     return salted.join(lookup.withColumn("salt", F.explode(parts)), [*on, "salt"], how).drop("salt")
 
 
+def hot_key_join(
+    rows: DataFrame, lookup: DataFrame, key: str, hot: Column, spread_by: str = "doc_id"
+) -> DataFrame:
+    """Inner join with a table of unique keys that is too large to repeat as a whole.
+
+    `hot` picks the rows of `lookup` whose keys are frequent. Only those keys are split
+    over `SALTS` parts. `lookup` should be staged: its hot keys are read on their own.
+    """
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    frequent = lookup.filter(hot).select(key, F.lit(True).alias("is_hot"))
+    part = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+    if fits_broadcast(frequent):
+        salted = rows.join(F.broadcast(frequent), key, "left").withColumn(
+            "salt", F.when(F.col("is_hot"), part).otherwise(0)
+        ).drop("is_hot")
+        repeated = lookup.withColumn("salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
+    else:
+        salted = rows.withColumn("salt", part)
+        repeated = lookup.withColumn("salt", F.explode(every))
+    return salted.join(repeated, [key, "salt"]).drop("salt")
+
+
 def running_count(
     rows: DataFrame, keys: Sequence[str], block: Sequence[Column], order: Sequence[Column]
 ) -> DataFrame:

@@ -84,7 +84,9 @@ def mails(spark):
     return spark.createDataFrame(TEXTS, "doc_id int, text string, label int, is_train boolean")
 
 
-def test_tfidf(mails):
+@pytest.mark.parametrize("hot_df", [100_000, 1])
+def test_tfidf(mails, monkeypatch, hot_df):
+    monkeypatch.setattr(textclf, "HOT_DF", hot_df)
     words = {d: [w for w in t.lower().replace(",", "").replace("!", "").replace(";", "").split() if len(w) > 1]
              for d, t, _, _ in TEXTS}
     df = Counter(w for d, _, _, train in TEXTS if train for w in set(words[d]))
