@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from termloom.operators import entities as e
 from termloom.operators import prms

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from termloom.operators import entities
 from termloom.operators.index import build_index
