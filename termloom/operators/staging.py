@@ -10,29 +10,41 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folder: str | None = None
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """The shared folder of `spark.checkpoint.dir`; a temporary one in local mode only."""
+def staging_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names in `spark.checkpoint.dir`.
+
+    Only a session without a cluster may leave it unset; its tables go to a temporary
+    folder. On a cluster a missing setting is an error, since executors could not read
+    each other's files and a plan without staged tables would repeat its work per use.
+    """
     global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        return None
+        return f"{folder}/termloom"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="termloom-")
     return _local_folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder for one table, never used before."""
+    return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and go on from the table.
 
-    What follows then neither repeats the text analysis per use nor depends on shuffle
-    files of executors that may be lost. On a cluster without a shared folder the plan
-    stays lazy, which is slower but gives the same rows.
+    What follows then neither repeats the work per use nor depends on shuffle files of
+    executors that may be lost.
     """
-    folder = staging_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/termloom/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete every staged table. Frames that were built on them can't be read afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

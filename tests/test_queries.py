@@ -30,7 +30,8 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql_but_the_fitted_models():
-    assert set(queries()) - set(oracle_sql()) == {"spam_eval", "ltr_rerank"}
+    own = {n for n in queries() if n != "pipeline" and not n.startswith("op")}
+    assert own - set(oracle_sql()) == {"spam_eval", "ltr_rerank"}
     assert set(oracle_sql()) <= set(queries())
 
 
