@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import line_dedup
+from termloom.llm import line_dedup, toxicity
+from termloom.llm.catalog import TOXIC, held_out
 from termloom.llm.common import table
 from termloom.operators.staging import new_path
 
@@ -13,6 +14,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None  # training, packing and token ids have no SQL form; tests/llm has brute-force versions
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; it learns from the labelled documents of its input."""
+    labels = toxicity.sample(table(spark, sf_dir, "labels"), ~held_out(), "doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), out="toxicity: score")
+    return scored.filter(F.col("toxicity: score") < TOXIC).select(*COLUMNS)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go; documents stay, if need be with an empty text."""
     cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), "text")
@@ -20,6 +28,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line dedup", drop_lines),
 ]
 

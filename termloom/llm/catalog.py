@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import exact_dedup, line_dedup
+from termloom.llm import exact_dedup, line_dedup, toxicity
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+TOXIC = 0.7
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows that no model may learn from: crc32 of the id as text leaves 1 when divided by 3."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = toxicity.sample(table(spark, sf_dir, "labels"), ~held_out(), "doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of the documents of each source, which stands for the site."""
     docs = table(spark, sf_dir, "documents")
@@ -30,6 +47,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
         "op9_exact_dedup": op9_exact_dedup,
     }
