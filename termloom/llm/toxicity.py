@@ -32,6 +32,9 @@ LABELLED = 20_000
 GRAMS = (4, 5, 6, 8)
 #: A landmark candidate has this many toxic texts and this score at least; the best `CANDIDATES` are looked at.
 MIN_TOXIC, MIN_GAIN, CANDIDATES = 3, 10, 2000
+#: Least logarithm of the ratio of a candidate's rates in toxic and clean texts.
+MIN_RATIO = 1.5
+COVER, SAME = 3, 0.6
 #: Least share of a landmark's neighbouring letter pairs a word must have, at most
 #: `REACH` - 1 letters between the two, for a kernel value other than 0.
 SHARED, REACH = 0.7, 3
@@ -194,8 +197,9 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     """Letter runs that tell the classes of `rows(text, label)` apart and cover the toxic texts.
 
     A run scores its toxic texts times the logarithm of the ratio of its two rates. Of the
-    `CANDIDATES` best, the one that scores most on texts not yet covered is taken, again and
-    again, until `limit` are or a further one would cover fewer than `MIN_TOXIC` texts.
+    `CANDIDATES` best, the one that scores most on texts that fewer than `COVER` chosen ones
+    cover is taken, again and again, until `limit` are or a further one would cover fewer
+    than `MIN_TOXIC` texts. Runs of nearly the same texts as a chosen one are passed over.
     """
     sizes = dict(rows.groupBy("label").count().collect())
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -206,7 +210,7 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     )
     ratio = F.log((F.col("toxic") + 0.5) / (pos + 1) / ((F.col("clean") + 0.5) / (neg + 1)))
     best = counts.filter(F.col("toxic") >= MIN_TOXIC).select("gram", ratio.alias("ratio"), (F.col("toxic") * ratio).alias("gain"))
-    best = best.filter(F.col("gain") >= MIN_GAIN).orderBy(F.desc("gain"), F.desc(F.length("gram")), "gram").limit(CANDIDATES)
+    best = best.filter((F.col("gain") >= MIN_GAIN) & (F.col("ratio") >= MIN_RATIO)).orderBy(F.desc("gain"), F.desc(F.length("gram")), "gram").limit(CANDIDATES)
     grams = [(row["gram"], row["ratio"]) for row in best.collect()]
     place = {gram: i for i, (gram, _) in enumerate(grams)}
     lengths = sorted({len(g) for g in place})
@@ -224,15 +228,17 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     has = np.zeros((len(texts), len(grams)), dtype=bool)
     for i, columns in enumerate(texts):
         has[i, list(columns)] = True
-    weight = np.array([r for _, r in grams])
-    open_texts, chosen = np.ones(len(texts), dtype=bool), []
-    while len(chosen) < limit and len(grams):
-        new = has[open_texts].sum(axis=0)
-        top = int(np.argmax(np.where(new >= MIN_TOXIC, new * weight, 0)))
-        if new[top] < MIN_TOXIC:
+    weight, sizes_of = np.array([r for _, r in grams]), has.sum(axis=0)
+    need, usable, chosen = np.full(len(texts), COVER), np.ones(len(grams), dtype=bool), []
+    while len(chosen) < limit and usable.any():
+        new = has[need > 0].sum(axis=0)
+        top = int(np.argmax(np.where(usable & (new >= MIN_TOXIC), new * weight, 0)))
+        if not usable[top] or new[top] < MIN_TOXIC:
             break
         chosen.append(grams[top][0])
-        open_texts &= ~has[:, top]
+        need -= has[:, top]
+        both = has[has[:, top]].sum(axis=0)
+        usable &= both <= SAME * (sizes_of + sizes_of[top] - both)
     return chosen
 
 
