@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import exact_dedup, line_dedup, toxicity
+from termloom.llm import bpe, exact_dedup, line_dedup, toxicity
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,11 +46,31 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs, [newer, ~newer])
 
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Token counts and digests of `docs`, encoded and decoded with the public vocabulary."""
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_byte_bpe": op10_byte_bpe,
     }
 
 
