@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, toxicity
+from termloom.llm import bpe, exact_dedup, line_dedup, ngram_join, toxicity
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents come in two batches, larger ids first, so the largest id stays."""
     docs = table(spark, sf_dir, "documents")
@@ -69,6 +73,7 @@ def queries() -> dict[str, Query]:
     return {
         "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
+        "op8_ngram_join": op8_ngram_join,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_byte_bpe": op10_byte_bpe,
     }
@@ -77,6 +82,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_line_dedup": OP7,
+        "op8_ngram_join": OP8,
         "op9_exact_dedup": OP9,
     }
 
@@ -103,6 +109,30 @@ SELECT d.doc_id, coalesce(c.n_lines, 0)::INTEGER AS n_lines, coalesce(c.n_droppe
 FROM documents d LEFT JOIN cleaned c USING (doc_id)
 """
 
+OP8 = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), spread AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS shingle
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM spread GROUP BY doc_id),
+in_common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM spread a JOIN spread b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM in_common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.other FROM reach r JOIN (SELECT a AS at, b AS other FROM links UNION ALL SELECT b, a FROM links) l ON l.at = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) d LEFT JOIN sizes s USING (doc_id)
+"""
+
 OP9 = """
 WITH hashed AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
