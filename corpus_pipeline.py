@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom.llm import line_dedup, toxicity
-from termloom.llm.catalog import TOXIC, held_out
+from termloom.llm import line_dedup, mixing, ngram_join, toxicity
+from termloom.llm.catalog import MIX_FACTOR, MIX_MOST, TOXIC, WEIGHTS, held_out, token_digests
 from termloom.llm.common import table
 from termloom.operators.staging import new_path
 
@@ -27,9 +27,34 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Documents without an id, and without a text, stay: they are nobody's copy.
+    """
+    found = ngram_join.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    copy = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", "source", "lang")
+    known = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").withColumn("near: copy", F.row_number().over(copy))
+    return known.filter(F.col("near: copy") == 1).select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to their target weights; a row is the part of a document that one block of the mix holds."""
+    mixed = mixing.mixed_texts(docs, WEIGHTS, MIX_FACTOR, MIX_MOST)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what the mix holds, encoded and decoded again."""
+    return token_digests(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_lines),
+    ("near duplicates", drop_near_copies),
+    ("mixing", mix),
+    ("token ids", encode),
 ]
 
 

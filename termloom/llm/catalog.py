@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, ngram_join, toxicity
+from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, toxicity
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+WEIGHTS, MIX_FACTOR, MIX_MOST = (5, 2, 1), 1.5, 2
 TOXIC = 0.7
 
 
@@ -22,6 +23,10 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_counts(table(spark, sf_dir, "documents"), WEIGHTS, MIX_FACTOR, MIX_MOST)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = toxicity.sample(table(spark, sf_dir, "labels"), ~held_out(), "doc_id", "toxic")
@@ -71,6 +76,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixing": op1_mixing,
         "op5_toxicity": op5_toxicity,
         "op7_line_dedup": op7_line_dedup,
         "op8_ngram_join": op8_ngram_join,
