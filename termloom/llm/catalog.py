@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, toxicity
+from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, toxicity, url_filter
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [
+    url_filter.Rule("org/", True), url_filter.Rule("example.org/es/", False), url_filter.Rule("example.org/en/1", False),
+    url_filter.Rule("com/fr/", True), url_filter.Rule("com/de/", False),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of the documents of each source, which stands for the site."""
     docs = table(spark, sf_dir, "documents")
@@ -78,6 +88,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op5_toxicity": op5_toxicity,
+        "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
         "op8_ngram_join": op8_ngram_join,
         "op9_exact_dedup": op9_exact_dedup,
