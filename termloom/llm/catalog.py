@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, toxicity, url_filter
+from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, topk_search, toxicity, url_filter
 from termloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(table(spark, sf_dir, "documents"), WEIGHTS, MIX_FACTOR, MIX_MOST)
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = toxicity.sample(table(spark, sf_dir, "labels"), ~held_out(), "doc_id", "toxic")
@@ -87,6 +91,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op3_topk_search": op3_topk_search,
         "op5_toxicity": op5_toxicity,
         "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
@@ -98,12 +103,26 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_topk_search": OP3,
         "op7_line_dedup": OP7,
         "op8_ngram_join": OP8,
         "op9_exact_dedup": OP9,
     }
 
 
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP7 = """
 WITH split AS (
   SELECT doc_id, coalesce(source, '') AS host, unnest(string_split(text, chr(10))) AS line,
