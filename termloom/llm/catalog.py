@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, topk_search, toxicity, url_filter
+from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, topk_search, toxicity, url_filter, warc
 from termloom.llm.common import table
+from termloom.operators.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(table(spark, sf_dir, "documents"), WEIGHTS, MIX_FACTOR, MIX_MOST)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    warc.write_bundles(table(spark, sf_dir, "pages"), folder)
+    return warc.page_digests(spark, folder).drop("url")
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
@@ -91,6 +98,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_warc": op2_warc,
         "op3_topk_search": op3_topk_search,
         "op5_toxicity": op5_toxicity,
         "op6_url_filter": op6_url_filter,
