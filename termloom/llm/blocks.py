@@ -1,6 +1,6 @@
 """Documents packed into blocks with a dictionary each, and a global exchange of distinct words.
 
-A block holds some ten megabytes of text as numbers into its own list of distinct words.
+A block holds ten megabytes of text as numbers into its own list of distinct words.
 Only those lists travel: every part of the hash space gets each block's words that fall
 into it, answers each distinct word once, and sends the answers back in the same order.
 What moves is thus a block's vocabulary, not its positions, which stay where they are in a
@@ -25,7 +25,9 @@ from termloom.llm.common import partitions
 from termloom.operators.staging import new_path
 
 #: A block is closed when its texts have this many bytes.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 10_000_000
+#: A block has fewer documents than 2 to the power of this, so that `block << DOC_BITS | number` tells a document.
+DOC_BITS = 20
 #: A part of the exchange gets about this many words, over all blocks.
 PART_WORDS = 250_000
 BLOCK_SCHEMA = "block long, ids array<long>, lens array<int>, n_words long, codes binary, words binary, docs_with binary"
@@ -69,6 +71,8 @@ def word_hashes(words: Sequence[bytes]) -> np.ndarray:
 class Block:
     """A block being filled: words by first use, and per document its words' numbers."""
 
+    copies_once: bool = True
+
     def __post_init__(self) -> None:
         self.words: dict[bytes, int] = {}
         self.docs: list[np.ndarray] = []
@@ -91,7 +95,8 @@ class Block:
         names = list(self.words)
         seen, docs_with = set(), np.zeros(n, dtype=np.uint32)
         for codes in self.docs:
-            if (key := xxhash.xxh3_128_digest(codes.tobytes())) not in seen:  # copies count once
+            key = xxhash.xxh3_128_digest(codes.tobytes())
+            if not self.copies_once or key not in seen:
                 seen.add(key)
                 docs_with[np.unique(place[codes])] += 1
         return pd.DataFrame({
@@ -101,22 +106,23 @@ class Block:
         })
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], list[bytes]]) -> DataFrame:
+def pack(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], list[bytes]], copies_once: bool = True) -> DataFrame:
     """A table of blocks over `docs`, written once and bucketed by block.
 
-    `split` turns a text into its words in UTF-8; null texts have none.
+    `split` turns a text into its words in UTF-8; null texts have none. `docs_with` counts
+    the block's documents that hold a word, equal documents as one if `copies_once`.
     """
     spark = docs.sparkSession
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, number, open_block = TaskContext.get().partitionId() << 24, 0, Block()
+        first, number, open_block = TaskContext.get().partitionId() << 16, 0, Block(copies_once)
         for batch in batches:
             for doc_id, text in zip(batch["id"].array, batch["text"].array):
                 missing = text is None or text is pd.NA
                 open_block.add(None if pd.isna(doc_id) else int(doc_id), [] if missing else split(text), 0 if missing else len(text))
-                if open_block.size >= BLOCK_BYTES:
+                if open_block.size >= BLOCK_BYTES or len(open_block.docs) == (1 << DOC_BITS) - 1:
                     yield open_block.row(first + number)
-                    number, open_block = number + 1, Block()
+                    number, open_block = number + 1, Block(copies_once)
         if open_block.docs:
             yield open_block.row(first + number)
 
@@ -130,8 +136,8 @@ def pack(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], lis
     return spark.table(name)
 
 
-def exchange(blocks: DataFrame, answer: Callable[[list[bytes], np.ndarray], list[bytes]]) -> DataFrame:
-    """(block, part, answers): `answer(words, docs_with)` for the distinct words of each part.
+def exchange(blocks: DataFrame, answer: Callable[[list[bytes], np.ndarray, int], list[bytes]]) -> DataFrame:
+    """(block, part, answers): `answer(words, docs_with, part)` for the distinct words of each part.
 
     `docs_with` sums the documents that hold the word over all blocks. Answers come back per
     block and part, in the order of the words' hashes. A word comes at most once from each
@@ -162,7 +168,7 @@ def exchange(blocks: DataFrame, answer: Callable[[list[bytes], np.ndarray], list
         sums = np.zeros(len(place), dtype=np.int64)
         for own, docs_with in zip(where, rows["docs_with"]):
             sums[own] += unpack_numbers(docs_with)
-        found = answer(list(place), sums)
+        found = answer(list(place), sums, int(rows["part"].iloc[0]))
         return pd.DataFrame({
             "block": rows["block"], "part": rows["part"], "answers": [pack_words([found[i] for i in own]) for own in where],
         })
@@ -173,12 +179,12 @@ def exchange(blocks: DataFrame, answer: Callable[[list[bytes], np.ndarray], list
 
 @dataclass
 class Opened:
-    """A block with the answers to its words, as `unpack` gives it to a function."""
+    """A block with its words' hashes and the answers to them, as `unpack` gives it to a function."""
 
     ids: list
     lens: np.ndarray
     codes: np.ndarray
-    words: list[bytes]
+    hashes: np.ndarray
     answers: list[bytes]
 
     def documents(self) -> Iterator[tuple[int, object, np.ndarray]]:
@@ -188,6 +194,19 @@ class Opened:
             yield k, doc_id, self.codes[end - size : end]
 
 
+def open_block(left: pd.DataFrame, right: pd.DataFrame) -> Opened:
+    """A block's row and the rows of its answers, put together."""
+    block = left.iloc[0]
+    hashes = word_hashes(unpack_words(block["words"]))
+    answers_of: list[bytes] = [b""] * len(hashes)
+    order = iter(np.argsort(hashes, kind="stable").tolist())
+    for own in right.sort_values("part")["answers"]:
+        for found in unpack_words(own):
+            answers_of[next(order)] = found
+    ids = [None if pd.isna(i) else int(i) for i in block["ids"]]
+    return Opened(ids, np.asarray(block["lens"], dtype=np.int64), unpack_numbers(block["codes"]), hashes, answers_of)
+
+
 def unpack(blocks: DataFrame, answers: DataFrame, rows_of: Callable[[int, Opened], pd.DataFrame], schema: str) -> DataFrame:
     """Bring each block and its answers together; `rows_of(block, opened)` makes the rows.
 
@@ -195,15 +214,6 @@ def unpack(blocks: DataFrame, answers: DataFrame, rows_of: Callable[[int, Opened
     """
 
     def together(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        block = left.iloc[0]
-        words = unpack_words(block["words"])
-        order = np.argsort(word_hashes(words), kind="stable")
-        sorted_answers = [a for own in right.sort_values("part")["answers"] for a in unpack_words(own)]
-        answers_of: list[bytes] = [b""] * len(words)
-        for i, found in zip(order.tolist(), sorted_answers):
-            answers_of[i] = found
-        ids = [None if pd.isna(i) else int(i) for i in block["ids"]]
-        opened = Opened(ids, np.asarray(block["lens"], dtype=np.int64), unpack_numbers(block["codes"]), words, answers_of)
-        return rows_of(int(block["block"]), opened)
+        return rows_of(int(left["block"].iloc[0]), open_block(left, right))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(together, schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -99,7 +99,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
 
-    def ids_of(words: list[bytes], _: np.ndarray) -> list[bytes]:
+    def ids_of(words: list[bytes], *_) -> list[bytes]:
         known = shared.value
         return [np.array(merge(w, known), dtype="<u4").tobytes() for w in words]
 
@@ -135,10 +135,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", ou
     shared = encoded.sparkSession.sparkContext.broadcast(token_table(ranks))
 
     @F.pandas_udf("binary")
-    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def look_up(batch: pd.Series) -> pd.Series:
         table = shared.value
-        for batch in batches:
-            yield batch.map(lambda ids: None if ids is None else b"".join([table[i] for i in ids.tolist()]))
+        return batch.map(lambda ids: None if ids is None else b"".join([table[i] for i in ids.tolist()]))
 
     return encoded.withColumn(out, look_up(F.col(ids_col)))
 
