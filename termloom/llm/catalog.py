@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, topk_search, toxicity, url_filter, warc
+from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, topk_search, toxicity, url_filter, warc
 from termloom.llm.common import table
 from termloom.operators.staging import new_path
 
@@ -38,6 +38,11 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = toxicity.sample(table(spark, sf_dir, "labels"), ~held_out(), "doc_id", "toxic")
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op1_mixing": op1_mixing,
         "op2_warc": op2_warc,
         "op3_topk_search": op3_topk_search,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_toxicity": op5_toxicity,
         "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
@@ -112,6 +118,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_topk_search": OP3,
+        "op4_substring_dedup": OP4,
         "op7_line_dedup": OP7,
         "op8_ngram_join": OP8,
         "op9_exact_dedup": OP9,
@@ -131,6 +138,25 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP4 = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS s, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS x
+  FROM words WHERE len(w) >= 13
+), firsts AS (SELECT x, min(doc_id) AS first_id FROM windows GROUP BY x),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS pos FROM windows JOIN firsts USING (x) WHERE first_id < doc_id
+), spread AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(g.pos) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (g.pos IS NULL), '') AS text
+  FROM spread LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 OP7 = """
 WITH split AS (
   SELECT doc_id, coalesce(source, '') AS host, unnest(string_split(text, chr(10))) AS line,
