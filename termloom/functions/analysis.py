@@ -81,11 +81,6 @@ def stemmed(tokens: DataFrame, stem_map: DataFrame) -> DataFrame:
     ).drop("stem")
 
 
-def safe_log(x: Column) -> Column:
-    """Natural logarithm with log(0) taken as 0."""
-    return F.when(x > 0, F.log(x)).otherwise(F.lit(0.0))
-
-
 def idf(n_docs: Column, df: Column) -> Column:
     return F.log(n_docs / df)
 

@@ -19,7 +19,6 @@ from termloom.operators.scorers import PAIR, background, matches, total, unit_st
 # Weights of the three parts, smoothing, window and field weights.
 SDM_WEIGHTS = {"T": 0.85, "O": 0.1, "U": 0.05}
 MU = 100.0
-WINDOW = 3
 FSDM_FIELD_WEIGHTS = {"title": 0.2, "body": 0.7, "anchors": 0.1}
 
 

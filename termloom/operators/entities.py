@@ -5,14 +5,12 @@ Triples are (subject, predicate, object, object_type) with object_type "literal"
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.analysis import Analyzer, english_terms, resolve_uri
 from termloom.operators.index import UNIT, TextIndex, _wanted
-from termloom.operators.joins import fits_broadcast, lookup_join
+from termloom.operators.joins import fits_broadcast, lookup_join, positions
 from termloom.operators.prms import ENTITY_FIELDS
 from termloom.operators.staging import stage
 
@@ -26,38 +24,22 @@ NAME_PREDICATES = [
 ]
 TYPE_PREDICATES = [TYPE_PREDICATE, "http://purl.org/dc/terms/subject"]
 COMMENT_PREDICATE = "http://www.w3.org/2000/01/rdf-schema#comment"
-MUSICAL_ARTIST = "http://dbpedia.org/ontology/MusicalArtist"
-CANDIDATE_CAP = 6000
-
-VALUES_PER_PART = 100_000
 
-
-def _parts(rows: DataFrame, keys: Sequence[str], limit: int = VALUES_PER_PART) -> DataFrame:
-    """Add `part`, which is 0 but for groups of more than `limit` rows.
-
-    Those are cut by a hash into parts of about `limit` rows, each collected on its own, so
-    one group never has to fit a single row.
-    """
-    keys = list(keys)
-    large = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    parts = F.coalesce(F.ceil(F.col("n") / limit), F.lit(1))
-    return lookup_join(rows, large, keys, False, "left", spread_by="object").withColumn(
-        "part", F.pmod(F.xxhash64("predicate", "object"), parts).cast("int")
-    ).drop("n")
+# Fixed value: the type of the entities that are indexed by default.
+MUSICAL_ARTIST = "http://dbpedia.org/ontology/MusicalArtist"
 
 
 def entity_values(triples: DataFrame) -> DataFrame:
-    """(subject, predicate, part, objects, is_single): all objects of a predicate, sorted.
+    """(subject, predicate, pos, object, is_single): the objects of a predicate, numbered in order.
 
-    `is_single` marks a predicate with one value. `part` counts up only where a predicate
-    has more values than one row should hold.
+    `is_single` marks a predicate with one value. A row is a value, so no predicate has more
+    values than a row can hold.
     """
     keys = ["subject", "predicate"]
-    return (
-        _parts(triples, keys)
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("object")).alias("objects"))
-        .withColumn("is_single", (F.size("objects") == 1) & (F.col("part") == 0))
+    numbered = positions(triples.select(*keys, "object"), keys, ["object"])
+    several = numbered.filter(F.col("pos") == 2).select(*keys, F.lit(False).alias("single"))
+    return numbered.join(several, keys, "left").select(
+        *keys, "pos", "object", F.coalesce("single", F.lit(True)).alias("is_single")
     )
 
 
@@ -103,21 +85,16 @@ def folded(triples: DataFrame) -> DataFrame:
 
 
 def entity_documents(triples: DataFrame, target: str = MUSICAL_ARTIST) -> DataFrame:
-    """(entity_id, part, names, ..., catch_all): values joined in (predicate, object) order.
+    """(entity_id, field, pos, value): the values of every field, in (predicate, object) order.
 
-    An entity with more values than one row should hold goes on in further parts.
+    Each value is in its own field and in `catch_all`. A field's text is its values joined
+    by blanks in the order of `pos`; it is not put together here, as an entity may have more
+    values than a row can hold.
     """
-    values = _parts(folded(of_type(triples, target)), ["entity_id"])
-
-    def text(keep: Column) -> Column:
-        found = F.sort_array(F.collect_list(F.when(keep, F.struct("predicate", "object"))))
-        return F.array_join(F.transform(found, lambda v: v["object"]), " ")
-
-    fields = [f for f in ENTITY_FIELDS if f != "catch_all"]
-    return values.groupBy("entity_id", "part").agg(
-        *[text(F.col("field") == f).alias(f) for f in fields],
-        text(F.lit(True)).alias("catch_all"),
+    values = folded(of_type(triples, target)).select(
+        "entity_id", F.explode(F.array("field", F.lit("catch_all"))).alias("field"), "predicate", F.col("object").alias("value")
     )
+    return positions(values, ["entity_id", "field"], ["predicate", "value"]).select("entity_id", "field", "pos", "value")
 
 
 def entity_index(
@@ -160,8 +137,15 @@ def entity_index(
     return TextIndex(stage(entries, "entities"), tuple(ENTITY_FIELDS), small)
 
 
-def candidates(page_links: DataFrame, prefix: str = "List of", cap: int = CANDIDATE_CAP) -> DataFrame:
-    """(entity): distinct links of the pages that are linked as lists, sorted, first `cap`."""
-    lists = page_links.filter(F.col("link").startswith(prefix)).select(F.col("link").alias("page")).distinct()
+def candidates(page_links: DataFrame, prefix: str = "List of", seed: str | None = None, cap: int | None = None) -> DataFrame:
+    """(entity): distinct links of the pages that are linked as lists.
+
+    `seed` names the one page whose list links count, else those of all pages do. `cap`, where
+    it is asked for, keeps the first names in order.
+    """
+    lists = page_links.filter(F.col("link").startswith(prefix))
+    lists = lists if seed is None else lists.filter(F.col("page") == seed)
+    lists = lists.select(F.col("link").alias("page")).distinct()
     found = lookup_join(page_links, lists, ["page"], fits_broadcast(lists), "left_semi", spread_by="link")
-    return found.select(F.col("link").alias("entity")).distinct().orderBy("entity").limit(cap)
+    names = found.select(F.col("link").alias("entity")).distinct()
+    return names if cap is None else names.orderBy("entity").limit(cap)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.operators.staging import stage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 ROW_OVERHEAD = 64
@@ -100,6 +102,18 @@ def running_count(
     )
 
 
+def positions(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Number the rows of each key 1, 2, ... by `order`, as column `pos`.
+
+    Rows are cut by ranges of key and order, equal ones by chance, so a key with a third of
+    all rows lies in many ranges. The ranges are staged, since counting reads them twice.
+    """
+    ranged = rows.withColumn("tie", F.rand(7)).repartitionByRange(*keys, *order, "tie")
+    cut = stage(ranged.withColumn("range", F.spark_partition_id()), "ranges")
+    numbered = running_count(cut, keys, [F.col("range")], [*map(F.col, order), F.col("tie")])
+    return numbered.withColumnRenamed("n", "pos").drop("range", "tie")
+
+
 def top_k(scores: DataFrame, k: int, decimals: int = 6) -> DataFrame:
     """Best `k` documents per query by (score, doc_id), both descending, with their rank.
 

@@ -147,8 +147,7 @@ def id_split(ids: DataFrame, key: str = "query_id", train_share: int = TRAIN_SHA
     )
 
 
-def capped_ids(split: DataFrame, is_train: bool, cap: int, key: str = "query_id") -> DataFrame:
-    """At most `cap` ids of one side: the first for training, the last for testing."""
-    order = F.md5(F.col(key).cast("string"))
+def side_ids(split: DataFrame, is_train: bool, most: int | None = None, key: str = "query_id") -> DataFrame:
+    """The ids of one side. `most` bounds the labelled queries that a model is fitted on; by hash."""
     side = split.filter(F.col("is_train") == is_train).select(key)
-    return side.orderBy(order.asc() if is_train else order.desc()).limit(cap)
+    return side if most is None else side.orderBy(F.md5(F.col(key).cast("string"))).limit(most)

@@ -26,8 +26,11 @@ def aligned(actual: DataFrame, predicted: DataFrame, key: str = "id") -> DataFra
 
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:
-    """(tn, fp, fn, tp) of `pairs(actual, predicted)`; anything but 1 counts as negative."""
-    hit, said = F.col("actual") == F.col("predicted"), F.col("predicted") == 1
+    """(tn, fp, fn, tp) of `pairs(actual, predicted)`; anything but 1, also NULL, counts as negative.
+
+    Every pair is in one cell: a NULL class is a class that equals NULL only.
+    """
+    hit, said = F.col("actual").eqNullSafe(F.col("predicted")), F.col("predicted").eqNullSafe(1)
     return pairs.agg(
         F.count_if(hit & ~said).alias("tn"),
         F.count_if(~hit & said).alias("fp"),
@@ -44,7 +47,7 @@ def binary_measures(matrix: DataFrame) -> DataFrame:
         F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         precision.alias("precision"),
         recall.alias("recall"),
-        F.try_divide(2 * precision * recall, precision + recall).alias("f1"),
+        F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"),
         F.try_divide(fp, fp + tn).alias("false_positive_rate"),
         F.try_divide(fn, fn + tp).alias("false_negative_rate"),
     )

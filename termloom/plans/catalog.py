@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.analysis import (
     english_terms,
+    entity_key,
     idf,
     standard_terms,
     strip_punctuation,
@@ -31,9 +32,11 @@ TITLE_BODY = ["title", "body"]
 PART = c.ONTOLOGY + "Part"
 MIN_REPEATS = 60
 VOCABULARY = ["and", "the", "of", "The", "la", "de", "und", "der", "que", "pour"]
-LOOKUP = ("body", "la")
+LOOKUP, LOOKUP_DOC = ("body", "la"), 7
 LINK_PREFIX = "/Th"
-SPAM_FEATURES, SPAM_ITERATIONS = 1 << 16, 25
+#: Labelled queries that the ranking model is fitted on at most; all held-out queries are evaluated.
+FITTED_QUERIES = 800
+ITEM = "7"
 KIND = {"unigram": "T", "ordered": "O", "unordered": "U"}
 
 
@@ -43,7 +46,7 @@ def rounded(df: DataFrame, *names: str, decimals: int = 6) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.spread(c.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return c.spread(c.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # ---- words and counts ------------------------------------------------------------------
@@ -54,6 +57,11 @@ def unique_elements(spark, sf_dir):
     return elements.unique_elements(listed, MIN_REPEATS)
 
 
+def item_occurrences(spark, sf_dir):
+    events = c.table(spark, sf_dir, "events")
+    return elements.occurrences(events.select(F.col("user_id").cast("string").alias("elem")), ITEM)
+
+
 def word_freq(spark, sf_dir):
     return elements.word_frequencies(_texts(spark, sf_dir))
 
@@ -105,6 +113,16 @@ def postings_lookup(spark, sf_dir):
     return index.term_postings(_full_index(spark, sf_dir).postings, *LOOKUP)
 
 
+def term_frequency(spark, sf_dir):
+    return index.term_frequency(_full_index(spark, sf_dir).postings, *LOOKUP, LOOKUP_DOC)
+
+
+def field_documents(spark, sf_dir):
+    """Documents that have a title, with its number of terms."""
+    docs = index.analyzed(c.documents(spark, sf_dir), TITLE_BODY)
+    return index.field_documents(docs, "title").select("doc_id", F.size("terms").alias("n_terms"))
+
+
 def doc_vectors(spark, sf_dir):
     return index.doc_vectors(_full_index(spark, sf_dir).postings, "title")
 
@@ -154,6 +172,11 @@ def bm25_top(spark, sf_dir, k=10):
     return top_k(scorers.bm25(idx, units), k)
 
 
+def _top_of(name, k=10):
+    """The best documents of a query by another query's scores."""
+    return lambda spark, sf_dir: top_k(queries()[name](spark, sf_dir), k)
+
+
 def best_document(spark, sf_dir):
     idx, units = c.index_for(spark, sf_dir, ["body"])
     return top_k(scorers.lm(idx, units), 1)
@@ -167,14 +190,17 @@ def _entity_index(spark, sf_dir):
 
 
 def entity_dict(spark, sf_dir):
-    values = entities.entity_values(c.triples(spark, sf_dir))
-    return values.withColumn("objects", F.array_join("objects", "|"))
+    return entities.entity_values(c.triples(spark, sf_dir))
 
 
 def entity_fields(spark, sf_dir):
     return entities.entity_documents(c.triples(spark, sf_dir), PART)
 
 
+def entity_keys(spark, sf_dir):
+    return c.table(spark, sf_dir, "part").select("p_partkey", entity_key(F.concat_ws(" & ", "p_name", "p_brand")).alias("key"))
+
+
 def entity_candidates(spark, sf_dir):
     return entities.candidates(c.page_links(spark, sf_dir), LINK_PREFIX)
 
@@ -218,6 +244,11 @@ def confusion(spark, sf_dir):
     return metrics.confusion_matrix(_predictions(spark, sf_dir))
 
 
+def evaluated(spark, sf_dir):
+    found = metrics.evaluate(_predictions(spark, sf_dir))
+    return rounded(found, *found.columns)
+
+
 def binary_metrics(spark, sf_dir):
     measures = metrics.binary_measures(metrics.confusion_matrix(_predictions(spark, sf_dir)))
     return rounded(measures, *measures.columns)
@@ -287,11 +318,11 @@ def ltr_rerank(spark, sf_dir):
     truth = qrels_relevant(spark, sf_dir)
     split = ltr.id_split(c.queries(spark, sf_dir))
 
-    def side(is_train, cap):
-        return units.join(ltr.capped_ids(split, is_train, cap), "query_id", "left_semi")
+    def side(is_train, most=None):
+        return units.join(ltr.side_ids(split, is_train, most), "query_id", "left_semi")
 
-    model = ltr.fit(ltr.training_data(idx, side(True, 800), truth))
-    retrieved = stage(ltr.first_pass(idx, side(False, 100)), "pairs")
+    model = ltr.fit(ltr.training_data(idx, side(True, FITTED_QUERIES), truth))
+    retrieved = stage(ltr.first_pass(idx, side(False)), "pairs")
     features = ltr.feature_matrix(idx, units, retrieved)
     before = metrics.mean_measure(retrieved, truth, metrics.reciprocal_rank)
     after = metrics.mean_measure(ltr.rerank(model, features), truth, metrics.reciprocal_rank)
@@ -306,13 +337,14 @@ def tfidf(spark, sf_dir):
 
 def spam_eval(spark, sf_dir):
     docs = c.labelled_documents(spark, sf_dir)
-    model = textclf.train(docs.filter("is_train"), max_iter=SPAM_ITERATIONS, num_features=SPAM_FEATURES)
+    model = textclf.train(docs.filter("is_train"))
     return metrics.evaluate(textclf.predict(model, docs.filter("not is_train")))
 
 
 def queries():
     found = {
         "unique_elements": unique_elements,
+        "item_occurrences": item_occurrences,
         "word_freq": word_freq,
         "feature_vector": feature_vector,
         "strip_punct": strip_punct,
@@ -322,6 +354,8 @@ def queries():
         "index_postings": index_postings,
         "index_terms": index_terms_of_field,
         "postings_lookup": postings_lookup,
+        "term_frequency": term_frequency,
+        "field_documents": field_documents,
         "doc_vectors": doc_vectors,
         "term_stats": term_stats,
         "field_lengths": field_lengths,
@@ -331,6 +365,10 @@ def queries():
         "bm25f": _scored(scorers.bm25f, TITLE_BODY),
         "mlm": _scored(scorers.mixture_lm, TITLE_BODY),
         "bm25_top": bm25_top,
+        "simple_top": _top_of("simple"),
+        "lm_top": _top_of("lm_jm"),
+        "bm25f_top": _top_of("bm25f"),
+        "mlm_top": _top_of("mlm"),
         "best_document": best_document,
         "lm_every_document": _every_document(scorers.lm, ["body"]),
         "sdm_every_document": _every_document(dependence.sdm, ["body"], "TOU"),
@@ -339,6 +377,7 @@ def queries():
         "fsdm_total": _scored(dependence.fsdm, c.FIELDS, "TOU"),
         "entity_dict": entity_dict,
         "entity_fields": entity_fields,
+        "entity_keys": entity_keys,
         "entity_candidates": entity_candidates,
         "baseline_topk": baseline_topk,
         "collection_lm": collection_lm,
@@ -346,6 +385,7 @@ def queries():
         "prms": prms_scores,
         "prms_topk": prms_topk,
         "confusion": confusion,
+        "evaluate": evaluated,
         "binary_metrics": binary_metrics,
         "qrels_relevant": qrels_relevant,
         "precision_at_k": _measured(metrics.precision_at(10)),

@@ -11,7 +11,6 @@ from termloom.operators.index import TextIndex, analyzed, build_index, query_uni
 from termloom.operators.joins import fits_broadcast, lookup_join
 from termloom.operators.ltr import TRAIN_SHARE, split_bucket
 
-SPLIT_BYTES = 128 * 1024 * 1024
 FIELDS = ["title", "body", "anchors"]
 SENTENCE_END = r"[.\n!?]+"
 MIN_SENTENCE = 20
@@ -27,20 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that has less than one file split per core.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input with fewer file splits than cores out over the cores.
 
-    A small file with one row group is read by a single task, which would then do all text
-    analysis alone. Larger inputs are left as they are scanned.
+    A small file is read by a single task, which would then do all text analysis alone. Rows
+    are dealt in turn, by no key, so what follows has the same plan as on a large input.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores, key) if size < cores * SPLIT_BYTES else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, body, anchors): first line, the rest, and source and language tags."""
-    raw = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    raw = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     cut = F.instr("text", "\n")
     return raw.select(
         "doc_id",
@@ -73,7 +71,7 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     2 for three or more shared sentences, else 1; 0 where the document is labelled as low
     quality.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     asked = sentences(items, "query_id").distinct()
     shared = (
@@ -162,7 +160,7 @@ def entity_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, link): pages named by the first word of their title, with their link targets."""
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select(
         F.concat(F.lit("/"), F.regexp_extract("html", "<title>([^ <]*)", 1)).alias("page"),
         F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("link"),
@@ -177,5 +175,5 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, is_train)."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.withColumn("is_train", split_bucket("doc_id") < TRAIN_SHARE)

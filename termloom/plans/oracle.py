@@ -385,22 +385,20 @@ def oracle_sql() -> dict[str, str]:
         "fsdm_total": f"{_scored(c.FIELDS, 'TOU')}, {_mixture(_dirichlet(FSDM_FIELDS), SDM_WEIGHT)} {ROUND}",
         "entity_dict": f"""
             WITH {TRIPLES}
-            SELECT subject, predicate, 0 AS part, string_agg(object, '|' ORDER BY object) AS objects, count(*) = 1 AS is_single
-            FROM triples GROUP BY ALL""",
+            SELECT subject, predicate, row_number() OVER (PARTITION BY subject, predicate ORDER BY object) AS pos, object,
+                   count(*) OVER (PARTITION BY subject, predicate) = 1 AS is_single
+            FROM triples""",
         "entity_fields": f"""
             WITH {TRIPLES}, {VALUES}
-            SELECT doc_id AS entity_id, 0 AS part, {', '.join(
-                f"coalesce(string_agg(text, ' ' ORDER BY predicate, text) FILTER (field = '{f}'), '') AS {f}"
-                for f in ENTITY_FIELDS[:-1])},
-                string_agg(text, ' ' ORDER BY predicate, text) AS catch_all
-            FROM vals GROUP BY doc_id""",
+            SELECT doc_id AS entity_id, field, row_number() OVER (PARTITION BY doc_id, field ORDER BY predicate, text) AS pos, text AS value
+            FROM (SELECT doc_id, field, predicate, text FROM vals UNION ALL SELECT doc_id, 'catch_all', predicate, text FROM vals)""",
         "entity_candidates": f"""
             WITH links AS (
                 SELECT '/' || regexp_extract(html, '<title>([^ <]*)', 1) AS page,
                        unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages)
             SELECT DISTINCT link AS entity FROM links
             WHERE page IN (SELECT link FROM links WHERE starts_with(link, '{catalog.LINK_PREFIX}'))
-            ORDER BY entity LIMIT 6000""",
+            """,
         "baseline_topk": f"""{_entity_collection()}, {SEARCH.format(units='qu', where="WHERE field = 'catch_all'")},
             {_top(100)} SELECT {ranked_columns} FROM top""",
         "collection_lm": f"{_entity_collection()}, {LM_SQL} SELECT field, term, round(p, 6) AS p FROM lm",
@@ -410,6 +408,18 @@ def oracle_sql() -> dict[str, str]:
             {SEARCH.format(units='qu', where="WHERE field = 'catch_all'").replace('s AS (', 's0 AS (', 1)},
             {_top(200).replace('FROM s)', 'FROM s0)').replace('top AS', 'first AS')},
             {PRMS.format(cand='first')}, {_top(200)} SELECT {ranked_columns} FROM top""",
+        "item_occurrences": f"SELECT count(*) AS occurrences FROM events WHERE user_id::VARCHAR = '{catalog.ITEM}'",
+        "term_frequency": f"""{two} SELECT coalesce(sum(tf), 0)::BIGINT AS tf FROM post
+            WHERE field = '{catalog.LOOKUP[0]}' AND term = '{catalog.LOOKUP[1]}' AND doc_id = {catalog.LOOKUP_DOC}""",
+        "field_documents": f"{two} SELECT doc_id, dl::INTEGER AS n_terms FROM dl WHERE field = 'title' AND dl > 0",
+        "entity_keys": "SELECT p_partkey, replace(replace(p_name || ' & ' || p_brand, ' ', '_'), '&', 'and') AS key FROM part",
+        "evaluate": """
+            WITH m AS (SELECT count(*) FILTER (quality = 0 AND toxic = 1) AS tn, count(*) FILTER (quality = 0 AND toxic = 0) AS fp,
+                              count(*) FILTER (quality = 1 AND toxic = 1) AS fn, count(*) FILTER (quality = 1 AND toxic = 0) AS tp
+                       FROM labels)
+            SELECT round(tp / nullif(tp + fn, 0), 6) AS recall, round(tp / nullif(tp + fp, 0), 6) AS precision,
+                   round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1,
+                   round((tp + tn) / nullif(tp + tn + fp + fn, 0), 6) AS accuracy FROM m""",
         "confusion": """
             SELECT count(*) FILTER (quality = 1 - toxic AND toxic <> 0) AS tn,
                    count(*) FILTER (quality <> 1 - toxic AND toxic = 0) AS fp,
@@ -453,6 +463,11 @@ def oracle_sql() -> dict[str, str]:
             raw AS (SELECT doc_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term), n)
             SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
     }
+    for name, scores in (("simple", "simple"), ("lm", "lm_jm"), ("bm25f", "bm25f"), ("mlm", "mlm")):
+        sql[f"{name}_top"] = f"""
+            SELECT query_id, rank, doc_id, score FROM (
+                SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC)::INTEGER AS rank FROM ({sql[scores]}))
+            WHERE rank <= 10"""
     for name, kind in catalog.KIND.items():
         sql[f"sdm_{name}"] = f"{_scored(['body'], kind)}, {_mixture(_dirichlet({}), 'qf')} {ROUND}"
         sql[f"fsdm_{name}"] = f"{_scored(c.FIELDS, kind)}, {_mixture(_dirichlet(FSDM_FIELDS), 'qf')} {ROUND}"

@@ -25,18 +25,18 @@ def labelled_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rankings(spark: SparkSession, path: str) -> DataFrame:
-    """(query_id, rank, doc_id) from a TSV whose line order is the ranking.
+    """(query_id, rank, doc_id) from a TSV with a header line, whose line order is the ranking.
 
     Lines are numbered inside each file split first and then over the splits, so a query
     with a very long list is not sorted in one task.
     """
-    raw = spark.read.csv(path, schema="query_id STRING, doc_id STRING", sep="\t", header=False)
+    raw = spark.read.csv(path, schema="query_id STRING, doc_id STRING", sep="\t", header=True)
     lines = raw.select(
         "query_id", "doc_id",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
-    ).filter(F.col("query_id") != "query_id")
+    )
     numbered = running_count(lines, ["query_id"], [F.col("file"), F.col("start")], [F.col("line")])
     return numbered.select("query_id", F.col("n").cast("int").alias("rank"), "doc_id")
 

@@ -36,9 +36,20 @@ def triples(spark):
 
 
 def test_entity_values(triples):
-    got = {(r.subject, r.predicate): (r.objects, r.is_single) for r in e.entity_values(triples).collect()}
-    assert got["Al", NAME] == (["Al"], True)
-    assert got["Al", ABOUT] == (["gospel soul", "http://x/resource/Quiet_Elegance"], False)
+    got = {(r.subject, r.predicate, r.pos): (r.object, r.is_single) for r in e.entity_values(triples).collect()}
+    assert len(got) == len(ROWS)
+    assert got["Al", NAME, 1] == ("Al", True)
+    assert got["Al", ABOUT, 1] == ("gospel soul", False)
+    assert got["Al", ABOUT, 2] == ("http://x/resource/Quiet_Elegance", False)
+
+
+def test_values_of_a_large_entity_are_numbered_in_order(triples):
+    """A predicate with most of the values, many of them equal, still has one numbering."""
+    rows = [("Al", ABOUT, f"{i % 40:02d}", "literal") for i in range(2000)]
+    many = triples.sparkSession.createDataFrame(rows, triples.schema).union(triples.filter(f"predicate <> '{ABOUT}'"))
+    got = {r.pos: r.object for r in e.entity_values(many).filter(f"predicate = '{ABOUT}'").collect()}
+    assert [got[i + 1] for i in range(2000)] == sorted(r[2] for r in rows)
+    assert e.entity_values(many).filter("is_single").count() == len([r for r in ROWS if r[1] != ABOUT])
 
 
 def test_has_type(triples):
@@ -46,9 +57,9 @@ def test_has_type(triples):
 
 
 def test_entity_documents(triples):
-    docs = {r.entity_id: r for r in e.entity_documents(triples).collect()}
-    assert set(docs) == {"Al", "Bo"}
-    al = docs["Al"]
+    found = sorted((r.entity_id, r.field, r.pos, r.value) for r in e.entity_documents(triples).collect())
+    assert {r[0] for r in found} == {"Al", "Bo"}
+    al = {f: " ".join(r[3] for r in found if r[:2] == ("Al", f)) for f in {r[1] for r in found}}
     assert al["names"] == "Al Green Al"
     assert al["description"] == "soul singer"
     assert al["types"] == "Soul singers MusicalArtist"
@@ -59,15 +70,6 @@ def test_entity_documents(triples):
     )
 
 
-def test_large_groups_are_cut_into_parts(triples):
-    rows = [("Al", ABOUT, str(i), "literal") for i in range(50)]
-    many = triples.union(triples.sparkSession.createDataFrame(rows, triples.schema))
-    parts = e._parts(many, ["subject"], limit=20).groupBy("subject", "part").count().collect()
-    assert {r["part"] for r in parts if r.subject == "Al"} == {0, 1, 2}
-    assert sum(r["count"] for r in parts) == len(ROWS) + 50
-    assert {r["part"] for r in parts if r.subject != "Al"} == {0}
-
-
 @pytest.fixture(scope="module")
 def found(triples, term_queries):
     units = query_units(term_queries({"q": "gospel soul soul", "r": "elegance nothing"}))
@@ -151,5 +153,7 @@ def test_term_mapping_goldens(spark):
 def test_candidates(spark):
     rows = [("Lists", "List of A"), ("Lists", "Other"), ("List of A", "y"), ("List of A", "x"), ("Other", "z")]
     links = spark.createDataFrame(rows, "page string, link string")
-    assert [r.entity for r in e.candidates(links).collect()] == ["x", "y"]
+    assert sorted(r.entity for r in e.candidates(links).collect()) == ["x", "y"]
+    assert e.candidates(links, seed="Other").count() == 0
+    assert sorted(r.entity for r in e.candidates(links, seed="Lists").collect()) == ["x", "y"]
     assert [r.entity for r in e.candidates(links, cap=1).collect()] == ["x"]

@@ -69,8 +69,8 @@ def test_id_split(spark):
     split = ltr.id_split(ids)
     share = split.filter("is_train").count()
     assert 740 < share < 860
-    assert ltr.capped_ids(split, False, 100).count() == 100
-    assert ltr.capped_ids(split, True, 10).join(split.filter("not is_train"), "query_id").count() == 0
+    assert ltr.side_ids(split, False, 100).count() == 100
+    assert ltr.side_ids(split, True, 10).join(split.filter("not is_train"), "query_id").count() == 0
 
 
 TEXTS = [

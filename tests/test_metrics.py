@@ -29,6 +29,14 @@ def test_binary_measures(matrix):
     )
 
 
+def test_pairs_with_null_classes_are_counted(spark):
+    pairs = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "actual int, predicted int")
+    got = metrics.confusion_matrix(pairs)
+    assert got.first().asDict() == {"tn": 1, "fp": 1, "fn": 1, "tp": 1}
+    errors = spark.createDataFrame([(1, 0), (0, 1)], "actual int, predicted int")
+    assert metrics.evaluate(errors).first()["f1"] == 0
+
+
 def test_no_denominator_is_null(spark):
     pairs = spark.createDataFrame([(0, 0)], "actual int, predicted int")
     got = metrics.evaluate(pairs)
