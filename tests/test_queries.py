@@ -13,12 +13,22 @@ from compare import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = [
     "unique_elements", "feature_vector", "bm25_top", "mlm", "sdm_total", "fsdm_total", "lm_every_document",
-    "entity_dict", "entity_fields", "entity_candidates", "prms_topk", "average_precision", "ltr_training", "tfidf",
+    "entity_dict", "entity_fields", "item_occurrences", "term_frequency", "field_documents", "evaluate", "lm_top", "entity_candidates", "prms_topk", "average_precision", "ltr_training", "tfidf",
 ]
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the driver's tables")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """These queries run with generated code, as in production; the other modules run interpreted."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(FOLDER)
