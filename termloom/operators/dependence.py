@@ -63,7 +63,7 @@ def sdm(
         F.sum(F.col("w") * F.log("bg")).alias("base"), F.sum("w").alias("mass")
     )
     gain = F.col("w") * F.log1p(F.col("tf")[field] / F.col("bg"))
-    scored = _gains(index, matches(index, stats, [field]), gain, pairs)
+    scored = _gains(index, matches(index, stats, [field], pairs), gain, pairs)
     with_base = lookup_join(scored, base, ["query_id"], index.small_queries, "left").fillna(0.0, ["base", "mass"])
     length = F.log(F.col("lens")[field] + F.lit(mu))
     return with_base.select(
@@ -122,9 +122,7 @@ def dirichlet_mixture(
     def unmatched(prior: Column) -> Column:
         return total([prior[f] / (F.col("lens")[f] + mu) for f in fields])
 
-    rows = matches(index, seen.drop("p"), fields)
-    if pairs is not None:
-        rows = rows.join(pairs.select(*PAIR), PAIR, "left_semi")
+    rows = matches(index, seen.drop("p"), fields, pairs)
     own = total([F.col("w_f")[f] * F.col("tf")[f] / (F.col("lens")[f] + mu) for f in fields])
     scored = _gains(index, rows, F.col("w") * F.log1p(own / unmatched(F.col("prior"))), pairs)
     # One row per scored document and unit of its query, summed again at once: the rows are

@@ -60,7 +60,7 @@ def pair_features(index: TextIndex, units: DataFrame, pairs: DataFrame) -> DataF
 
     Averages divide by all query terms; repeated query terms count as often as they occur.
     """
-    rows = matches(index, body_units(index, units), FIELDS).join(pairs.select(*PAIR), PAIR, "left_semi")
+    rows = matches(index, body_units(index, units), FIELDS, pairs)
     sums = []
     for f in FIELDS:
         tf = F.col("tf")[f]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.operators.index import UNIT, TextIndex
-from termloom.operators.joins import lookup_join, top_k
+from termloom.operators.joins import fits_broadcast, lookup_join, top_k
 
 PAIR = ["query_id", "doc_id"]
 
@@ -26,10 +26,19 @@ def unit_statistics(index: TextIndex, units: DataFrame) -> DataFrame:
     return lookup_join(units, index.unit_stats, UNIT, index.small_queries, spread_by="query_id")
 
 
-def matches(index: TextIndex, stats: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Entries of every query unit that occurs in one of `fields`, with the unit's columns."""
+def matches(index: TextIndex, stats: DataFrame, fields: Sequence[str], pairs: DataFrame | None = None) -> DataFrame:
+    """Entries of every query unit that occurs in one of `fields`, with the unit's columns.
+
+    With `pairs`, only entries of their documents meet the units, and only those pairs are
+    returned.
+    """
     here = total([F.col("tf")[f] for f in fields]) > 0
-    return lookup_join(index.entries.filter(here), stats, UNIT, index.small_queries)
+    entries = index.entries.filter(here)
+    if pairs is None:
+        return lookup_join(entries, stats, UNIT, index.small_queries)
+    listed = pairs.select("doc_id").distinct()
+    entries = entries.join(F.broadcast(listed) if fits_broadcast(listed) else listed, "doc_id", "left_semi")
+    return lookup_join(entries, stats, UNIT, index.small_queries).join(pairs.select(*PAIR), PAIR, "left_semi")
 
 
 def all_documents(index: TextIndex, query_id) -> DataFrame:
@@ -73,7 +82,7 @@ def add_base(index: TextIndex, scored: DataFrame, base: DataFrame) -> DataFrame:
 
 def simple(index: TextIndex, units: DataFrame, field: str = "body", pairs: DataFrame | None = None) -> DataFrame:
     """Sum of tf * qf."""
-    rows = matches(index, units, [field])
+    rows = matches(index, units, [field], pairs)
     return per_document(index, rows, (F.col("tf")[field] * F.col("qf")).cast("double"), pairs)
 
 
@@ -91,7 +100,7 @@ def bm25(
     pairs: DataFrame | None = None,
 ) -> DataFrame:
     """BM25 with idf ln(N/n); repeated query terms count once."""
-    rows = matches(index, unit_statistics(index, units), [field])
+    rows = matches(index, unit_statistics(index, units), [field], pairs)
     idf = F.log(F.lit(float(index.stats.n_docs)) / F.col("df")[field])
     return per_document(index, rows, saturated(field, k1, b, index.stats.avg_len(field)) * idf, pairs)
 
@@ -142,7 +151,7 @@ def bm25f(
             return F.lit(0.0)
         return weights[f] * F.col("tf")[f] / (1 - b[f] + b[f] * F.col("lens")[f] / F.lit(average))
 
-    rows = matches(index, unit_statistics(index, units), list(weights))
+    rows = matches(index, unit_statistics(index, units), list(weights), pairs)
     count, df = total([field_count(f) for f in weights]), F.col("df")[idf_field]
     idf = F.when(df > 0, F.log(F.lit(float(index.stats.n_docs)) / df)).otherwise(0.0)
     return per_document(index, rows, count / (k1 + count) * idf, pairs)
@@ -185,4 +194,4 @@ def mixture_lm(
         for f in weights
     ])
     gain = F.col("qf") * F.log1p(own / F.col("bg"))
-    return add_base(index, per_document(index, matches(index, stats, list(weights)), gain, pairs), base)
+    return add_base(index, per_document(index, matches(index, stats, list(weights), pairs), gain, pairs), base)
