@@ -12,7 +12,7 @@ the postings, and the corpus is read and tokenised once.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,8 @@ from termloom.operators.joins import fits_broadcast, lookup_join
 from termloom.operators.staging import stage
 
 UNIT = ["kind", "unit"]
+#: Partitions of a stored index; a unit's hash picks its one.
+UNIT_BUCKETS = 256
 
 
 # ---- units -----------------------------------------------------------------------------
@@ -192,6 +194,34 @@ class TextIndex:
         )
 
 
+@dataclass(frozen=True)
+class StoredIndex(TextIndex):
+    """An index read back from its folder, with the statistics that are stored beside it.
+
+    Entries and unit statistics lie in partitions by `bucket`, a hash of the unit.
+    """
+
+    stored_documents: DataFrame | None = None
+    stored_units: DataFrame | None = None
+    stored_fields: DataFrame | None = None
+
+    @property
+    def documents(self) -> DataFrame:
+        return self.stored_documents
+
+    @property
+    def unit_stats(self) -> DataFrame:
+        return self.stored_units
+
+    @property
+    def field_stats(self) -> DataFrame:
+        return self.stored_fields
+
+
+def unit_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*UNIT), F.lit(buckets)).cast("int")
+
+
 def build_index(
     doc_terms: DataFrame,
     fields: Sequence[str],
@@ -247,10 +277,22 @@ def build_index(
 
 
 def restrict(index: TextIndex, units: DataFrame) -> TextIndex:
-    """Cut a stored full index down to the units of some queries."""
-    small = fits_broadcast(units)
-    entries = lookup_join(index.entries, _wanted(units), UNIT, small, "left_semi")
-    return TextIndex(stage(entries, "index"), index.fields, small)
+    """Cut a full index down to the units of some queries.
+
+    A stored index is read in the partitions of these units only and not written again; an
+    index made by a plan is staged, since scorers read it more than once.
+    """
+    small, wanted = fits_broadcast(units), _wanted(units)
+    if not isinstance(index, StoredIndex):
+        return TextIndex(stage(lookup_join(index.entries, wanted, UNIT, small, "left_semi"), "index"), index.fields, small)
+    # as many numbers as the index has buckets, at most
+    asked = [r[0] for r in wanted.select(unit_bucket(UNIT_BUCKETS)).distinct().collect()]
+
+    def cut(rows: DataFrame, spread_by: str) -> DataFrame:
+        rows = rows.filter(F.col("bucket").isin(asked)).drop("bucket")
+        return lookup_join(rows, wanted, UNIT, small, "left_semi", spread_by=spread_by)
+
+    return replace(index, entries=cut(index.entries, "doc_id"), stored_units=cut(index.stored_units, "unit"), small_queries=small)
 
 
 def _wanted(units: DataFrame) -> DataFrame:

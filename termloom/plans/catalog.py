@@ -25,8 +25,9 @@ from termloom.operators import (
     textclf,
 )
 from termloom.operators.joins import top_k
-from termloom.operators.staging import stage
+from termloom.operators.staging import new_path, stage
 from termloom.plans import collection as c
+from termloom.sources import sinks
 
 TITLE_BODY = ["title", "body"]
 PART = c.ONTOLOGY + "Part"
@@ -177,6 +178,14 @@ def _top_of(name, k=10):
     return lambda spark, sf_dir: top_k(queries()[name](spark, sf_dir), k)
 
 
+def bm25_stored_top(spark, sf_dir, k=10):
+    """The same from an index that was stored in full and is read for the query's terms only."""
+    path = new_path(spark, "stored-index")
+    sinks.save_index(_full_index(spark, sf_dir), path)
+    units = index.query_units(c.queries(spark, sf_dir))
+    return top_k(scorers.bm25(index.restrict(sinks.load_index(spark, path), units), units), k)
+
+
 def best_document(spark, sf_dir):
     idx, units = c.index_for(spark, sf_dir, ["body"])
     return top_k(scorers.lm(idx, units), 1)
@@ -365,6 +374,7 @@ def queries():
         "bm25f": _scored(scorers.bm25f, TITLE_BODY),
         "mlm": _scored(scorers.mixture_lm, TITLE_BODY),
         "bm25_top": bm25_top,
+        "bm25_stored_top": bm25_stored_top,
         "simple_top": _top_of("simple"),
         "lm_top": _top_of("lm_jm"),
         "bm25f_top": _top_of("bm25f"),

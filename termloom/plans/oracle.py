@@ -361,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
             s AS (SELECT query_id, doc_id, sum(tf * qf)::DOUBLE AS score FROM qu JOIN du USING (kind, unit) GROUP BY ALL)
             {ROUND}""",
         "bm25": f"{_scored(['body'])}, {BM25} {ROUND}",
+        "bm25_stored_top": f"{_scored(['body'])}, {BM25}, {_top(10)} SELECT {ranked_columns} FROM top",
         "bm25_top": f"{_scored(['body'])}, {BM25}, {_top(10)} SELECT {ranked_columns} FROM top",
         "lm_jm": f"{_scored(['body'])}, {_mixture(_jm({'body': 1.0}), 'qf')} {ROUND}",
         "best_document": f"""{_scored(['body'])}, {_mixture(_jm({'body': 1.0}), 'qf')}, {_top(1)}

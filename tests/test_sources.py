@@ -4,8 +4,7 @@ import json
 
 import pytest
 
-from termloom.operators import entities
-from termloom.operators.index import build_index
+from termloom.operators.index import build_index, query_units, restrict
 from termloom.sources import readers, sinks
 
 
@@ -73,7 +72,7 @@ def test_entity_triples(spark):
     assert got == [(key, "p", "", "literal"), (key, "p", "u", "uri")]
 
 
-def test_stored_index(spark, tmp_path, term_docs):
+def test_stored_index(spark, tmp_path, term_docs, term_queries):
     docs = term_docs({"a": {"title": "x", "body": "x y x"}, "b": {"title": "", "body": "y"}}, ["title", "body"])
     index = build_index(docs, ["title", "body"])
     sinks.save_postings(index.postings, str(tmp_path / "postings"))
@@ -85,12 +84,17 @@ def test_stored_index(spark, tmp_path, term_docs):
     sinks.save_index(index, str(tmp_path / "index"))
     loaded = sinks.load_index(spark, str(tmp_path / "index"))
     assert loaded.fields == ("title", "body") and loaded.stats == index.stats
+    units = query_units(term_queries({"q": "y nothing"}))
+    cut = restrict(loaded, units)
+    assert {(r.doc_id, r.unit) for r in cut.entries.collect()} == {("a", "y"), ("b", "y")}
+    assert [r.df.asDict() for r in cut.unit_stats.collect()] == [{"title": 0, "body": 2}]
+    plan = cut.entries._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan
 
 
 def test_save_entities(spark, tmp_path):
-    rows = [("a", 0, "x", "x"), ("b", 0, "", "")]
+    rows = [("a", "names", 1, "x"), ("b", "names", 1, "")]
     sinks.save_entities(
-        spark.createDataFrame(rows, "entity_id string, part int, names string, catch_all string"), str(tmp_path / "e")
+        spark.createDataFrame(rows, "entity_id string, field string, pos long, value string"), str(tmp_path / "e")
     )
     assert [r.entity_id for r in spark.read.parquet(str(tmp_path / "e")).collect()] == ["a"]
-    assert entities.CANDIDATE_CAP == 6000
