@@ -9,14 +9,14 @@ class, its tokens less one reach the number of tokens that the other set may lac
 one. So rare tokens are indexed alone and frequent ones in pairs. A token whose rarest word
 occurs in one document can't be shared and is not indexed at all.
 
-Sets that share an index key are verified exactly: first each with the smallest set of its
-key, then, once what is linked has been joined, any two of still different groups.
+Sets that share an index key are pairs to look at: first each with one set of its key, then,
+once what is linked has been joined, any two of still different groups. Sizes and short
+sketches rule most pairs out; the others are verified on their whole sets.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -98,12 +98,7 @@ def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> np.n
     return np.unique(np.concatenate(keys))
 
 
-def _word_arrays(block: blocks.Opened) -> tuple[np.ndarray, np.ndarray]:
-    docs_with = np.frombuffer(b"".join(block.answers), dtype="<i8")
-    return blocks.word_hashes(block.words), docs_with
-
-
-def _sums(words: list[bytes], docs_with: np.ndarray) -> list[bytes]:
+def _sums(words: list[bytes], docs_with: np.ndarray, _: int) -> list[bytes]:
     return [n.tobytes() for n in docs_with.astype("<i8")]
 
 
@@ -131,20 +126,87 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; sizes and overlap are compared as whole numbers."""
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit per token, flipped by every token that hashes to it; about as many bits as tokens.
+
+    Two sketches differ in at most as many bits as the sets have tokens of their own, so
+    they give a bound on the similarity for a fraction of the bytes.
+    """
+    bits = 1 << max(6, (len(tokens) - 1).bit_length())
+    return np.packbits((np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_differ(left: bytes, right: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the length of the other."""
+    a, b = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+    while len(a) != len(b):
+        if len(a) > len(b):
+            a, b = b, a
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _maybe_similar(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out.
+
+    Of two sets with similarity s, at most (1 - s) / (1 + s) of the sum of their sizes are
+    tokens of one set only.
+    """
+    share = round(similarity * 100)
+
+    @F.pandas_udf("int")
+    def differ(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([sketches_differ(a, b) for a, b in zip(left, right)], dtype="int32")
+
+    left = sketches.select(F.col("loc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
+    right = sketches.select(F.col("loc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+    fitting = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * share)
+    return (
+        pairs.join(right, "b").join(left, "a").filter(fitting)
+        .filter(differ("left", "right") * (100 + share) <= (100 - share) * (F.col("n_a") + F.col("n_b")))
+        .select("a", "b")
+    )
+
+
+def _verified(pairs: DataFrame, packed: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity; sizes and overlap are compared as whole numbers.
+
+    Only the sets of these pairs are made, again from their blocks.
+    """
+    ends = pairs.select(F.col("a").alias("loc")).union(pairs.select("b")).distinct()
+    sets = stage(_sets(packed, ends, words), "sets")
     share = round(similarity * 100)
-    left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("right"))
+    left, right = (sets.select(F.col("loc").alias(end), F.col("tokens").alias(name)) for end, name in (("a", "left"), ("b", "right")))
     both = F.size(F.array_intersect("left", "right"))
     return (
-        pairs.select("a", "b").join(right, "b").join(left, "a")
+        pairs.join(right, "b").join(left, "a")
         .select("a", "b", both.alias("both"), (F.size("left") + F.size("right")).alias("sum"))
         .filter(100 * F.col("both") >= share * (F.col("sum") - F.col("both")))
         .select("a", "b")
     )
 
 
+def _sets(packed: DataFrame, locs: DataFrame, words: int) -> DataFrame:
+    """(loc, tokens) of the documents at `locs(loc)`."""
+
+    def rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"loc": pd.Series(dtype="int64"), "tokens": pd.Series(dtype="object")})
+        block, found = left.iloc[0], []
+        hashes = blocks.word_hashes(blocks.unpack_words(block["words"]))
+        ones = np.ones(len(hashes), dtype=np.int64)
+        codes = blocks.unpack_numbers(block["codes"])
+        ends = np.cumsum(np.asarray(block["lens"], dtype=np.int64))
+        for loc in right["loc"]:
+            number = loc & ((1 << blocks.DOC_BITS) - 1)
+            own = codes[ends[number] - block["lens"][number] : ends[number]]
+            found.append((loc, tokens_of(own, hashes, ones, words)[0].view(np.int64)))
+        return pd.DataFrame(found, columns=["loc", "tokens"])
+
+    placed = locs.withColumn("block", F.shiftright("loc", blocks.DOC_BITS))
+    return packed.groupBy("block").cogroup(placed.groupBy("block")).applyInPandas(rows, "loc long, tokens array<long>")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`.
@@ -160,85 +222,62 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names.
     """
     packed = blocks.pack(docs, id_col, text_col, split_words)
-    answers = stage(blocks.exchange(packed, _sums), "docs-with-word")
-    share = similarity
+    answers = blocks.exchange(packed, _sums)
 
-    def sets_of(_: int, block: blocks.Opened) -> pd.DataFrame:
-        hashes, docs_with = _word_arrays(block)
+    def sets_of(number_of_block: int, block: blocks.Opened) -> pd.DataFrame:
+        docs_with = np.frombuffer(b"".join(block.answers), dtype="<i8")
         rows, seen = [], set()
         for number, doc_id, codes in block.documents():
-            tokens, bound = tokens_of(codes, hashes, docs_with, words)
+            tokens, bound = tokens_of(codes, block.hashes, docs_with, words)
             key = xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
-            keys = []
+            keys, bits = None, None
             if key is not None and key not in seen:
                 seen.add(key)
-                keys = index_keys(tokens, bound, share).view(np.int64)
-            rows.append((doc_id, number, key, len(tokens), keys))
-        found = pd.DataFrame(rows, columns=["doc_id", "number", "key", "n_shingles", "keys"])
-        return found.assign(block=_, doc_id=found["doc_id"].astype("Int64"))
+                keys, bits = index_keys(tokens, bound, similarity).view(np.int64), sketch(tokens)
+            rows.append((number_of_block << blocks.DOC_BITS | number, doc_id, key, len(tokens), keys, bits))
+        found = pd.DataFrame(rows, columns=["loc", "doc_id", "key", "n", "keys", "sketch"])
+        return found.assign(doc_id=found["doc_id"].astype("Int64"))
 
     made = stage(
-        blocks.unpack(packed, answers, sets_of, "block long, doc_id long, number int, key binary, n_shingles long, keys array<long>"),
-        "token-sets",
+        blocks.unpack(packed, answers, sets_of, "loc long, doc_id long, key binary, n long, keys array<long>, sketch binary"), "token-sets",
     )
-    # most keys have a single set and go; a set that several blocks have may come twice, which does no harm
-    postings = made.select(F.explode("keys").alias("sig"), "key", F.col("n_shingles").alias("n"))
-    several = postings.groupBy("sig").agg(F.count("*").alias("sets")).filter("sets > 1").select("sig")
-    postings = stage(postings.join(several, "sig"), "postings")
-    pivots = postings.groupBy("sig").agg(F.min(F.struct("n", "key")).alias("pivot"))
-    shared = stage(postings.join(pivots, "sig"), "shared-keys")
-    wanted = shared.select("key").distinct()
-    where = made.filter(F.size("keys") > 0).join(wanted, "key").groupBy("key").agg(F.min(F.struct("block", "number")).alias("at"))
-    needed = where.select("key", "at.block", "at.number").groupBy("block").agg(F.collect_list(F.struct("number", "key")).alias("needed"))
-    sets = stage(_sets(packed, answers, needed, words), "sets")
-
-    close = F.col("n") * round(100 * similarity) <= 100 * F.col("pivot.n")
-    star = shared.filter((F.col("key") != F.col("pivot.key")) & close).select(
-        F.col("pivot.key").alias("a"), F.col("key").alias("b")
-    ).distinct()
-    links = stage(_verified(star, sets, similarity), "links")
+    # one place stands for each set, wherever it occurs
+    first = stage(made.filter("keys IS NOT NULL").groupBy("key").agg(F.min("loc").alias("loc")), "places")
+    chosen = made.select("loc", "n", "keys").filter(F.size("keys") > 0).join(first.select("loc"), "loc", "left_semi")
+    postings = chosen.select(F.explode("keys").alias("sig"), "loc")
+    # keys with one set go; of keys with the same sets, told by count and two digests of the places, one stays
+    mark = F.xxhash64("loc")
+    lists = postings.groupBy("sig").agg(
+        F.count("*").alias("sets"), F.bit_xor(mark).alias("mark"), F.sum(F.shiftrightunsigned(mark, 32)).alias("total"), F.min("loc").alias("pivot")
+    ).filter("sets > 1").groupBy("sets", "mark", "total").agg(F.min("sig").alias("sig"), F.min("pivot").alias("pivot"))
+    postings = stage(postings.join(lists.select("sig", "pivot"), "sig"), "postings")
+    sketches = stage(made.select("loc", "n", "sketch").join(postings.select("loc").distinct(), "loc", "left_semi"), "sketches")
+
+    star = postings.filter("loc <> pivot").select(F.col("pivot").alias("a"), F.col("loc").alias("b")).distinct()
+    near = stage(_maybe_similar(star, sketches, similarity), "near")
+    links = stage(_verified(near, packed, words, similarity), "links")
     found = components(links, "groups")
 
     # what is left: sets that share a key and are in different groups
-    grouped = shared.join(found.withColumnRenamed("node", "key"), "key", "left").select(
-        "sig", "key", "n", F.coalesce("comp", "key").alias("comp"), F.col("pivot.key").alias("pivot")
-    )
+    grouped = stage(postings.join(found.withColumnRenamed("node", "loc"), "loc", "left").select(
+        "sig", "loc", F.coalesce("comp", "loc").alias("comp")
+    ), "grouped")
     mixed = grouped.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("sig")
-    open_keys = stage(grouped.join(mixed, "sig"), "open-keys")
-    left = open_keys.select("sig", "pivot", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    right = open_keys.select("sig", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    rest = (
-        left.join(right, "sig")
-        .filter((F.struct("n_a", "a") < F.struct("n_b", "b")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("a") != F.col("pivot")))
-        .filter(F.col("n_b") * round(100 * similarity) <= 100 * F.col("n_a"))
-        .select("a", "b").distinct()
-    )
-    more = stage(_verified(rest, sets, similarity), "more-links")
+    still = grouped.join(mixed, "sig", "left_semi")
+    left = still.select("sig", F.col("loc").alias("a"), F.col("comp").alias("comp_a"))
+    right = still.select("sig", F.col("loc").alias("b"), F.col("comp").alias("comp_b"))
+    rest = left.join(right, "sig").filter("a < b AND comp_a <> comp_b").select("a", "b").distinct()
+    near = stage(_maybe_similar(rest, sketches, similarity), "near")
+    more = stage(_verified(near, packed, words, similarity), "more-links")
     every = components(links.union(more), "components")
 
-    members = made.select("doc_id", "n_shingles", "key")
+    members = made.select("doc_id", F.col("n").alias("n_shingles"), "key")
     by_set = members.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id"))
-    labelled = by_set.join(every.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    labelled = by_set.join(first, "key").join(every.withColumnRenamed("node", "loc"), "loc", "left").select(
+        "key", "first_id", F.coalesce("comp", "loc").alias("comp"))
     smallest = labelled.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     # read back from a plain table, so that the next join may split a set that many rows have
     resolved = stage(labelled.join(smallest, "comp").select("key", "component_id"), "resolved-sets")
     linked = members.filter("key IS NOT NULL").join(resolved, "key").select("doc_id", "n_shingles", "component_id")
     alone = members.filter("key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone)
-
-
-def _sets(packed: DataFrame, answers: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """(key, tokens) of the needed documents, made again from their blocks."""
-
-    def rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"key": [], "tokens": []})
-        block = left.iloc[0]
-        names = blocks.unpack_words(block["words"])
-        opened = blocks.Opened(list(block["ids"]), np.asarray(block["lens"], dtype=np.int64), blocks.unpack_numbers(block["codes"]), names, [])
-        hashes, ones = blocks.word_hashes(names), np.ones(len(names), dtype=np.int64)
-        keys = {n["number"]: n["key"] for n in right.iloc[0]["needed"]}
-        found = [(keys[k], tokens_of(codes, hashes, ones, words)[0].view(np.int64)) for k, _, codes in opened.documents() if k in keys]
-        return pd.DataFrame(found, columns=["key", "tokens"])
-
-    return packed.groupBy("block").cogroup(needed.groupBy("block")).applyInPandas(rows, "key binary, tokens array<long>")
