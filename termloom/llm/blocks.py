@@ -207,6 +207,16 @@ def open_block(left: pd.DataFrame, right: pd.DataFrame) -> Opened:
     return Opened(ids, np.asarray(block["lens"], dtype=np.int64), unpack_numbers(block["codes"]), hashes, answers_of)
 
 
+def answer_table(hashes: np.ndarray, right: pd.DataFrame, width: int) -> np.ndarray:
+    """Answers of `width` 64-bit numbers each, a row per word of a block."""
+    raw = []
+    for own in right.sort_values("part")["answers"]:
+        raw.append(unsqueeze(own[4 + int.from_bytes(own[:4], "little") :]))
+    table = np.empty((len(hashes), width), dtype=np.int64)
+    table[np.argsort(hashes, kind="stable")] = np.frombuffer(b"".join(raw), dtype="<i8").reshape(-1, width)
+    return table
+
+
 def unpack(blocks: DataFrame, answers: DataFrame, rows_of: Callable[[int, Opened], pd.DataFrame], schema: str) -> DataFrame:
     """Bring each block and its answers together; `rows_of(block, opened)` makes the rows.
 

@@ -94,13 +94,12 @@ class FMIndex:
 
     def __init__(self, sequence: np.ndarray, depth: int):
         n = len(sequence)
-        rank, length = sequence.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
+        rank, length, order = sequence.astype(np.int64), 1, np.arange(n)
         while length < depth:
             after = np.zeros(n, dtype=np.int64)
             after[:-length] = rank[length:] + 1
             key = rank * (n + 2) + after
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             ordered = key[order]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
@@ -145,59 +144,87 @@ def repeated(sequence: np.ndarray, doc: np.ndarray, places: np.ndarray, window:
 
 # ---- segments ----------------------------------------------------------------------------
 
-def segments_of(number: np.ndarray, docs_with: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, place of their rarest word) of a document's segments.
+def segments_of(number: np.ndarray, docs_with: np.ndarray, lens: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, windows, place of their rarest word) of the segments of documents laid end to end.
 
-    Windows that hold a word of one document only are left out. The rarest word is the first
-    of those with the fewest documents and then the smallest number.
+    Windows that hold a word of one document only are left out, and those that reach into
+    the next document. The rarest word is the first of those with the fewest documents and
+    then the smallest number.
     """
     none = np.zeros(0, dtype=np.int64)
     if len(number) < window:
         return none, none, none
-    sorted_ = np.lexsort((number, docs_with))
-    order = np.empty(len(number), dtype=np.int64)
-    order[sorted_] = np.cumsum(np.diff(number[sorted_], prepend=-1) != 0)
-    rarest = sliding_window_view(order, window).argmin(axis=1) + np.arange(len(number) - window + 1)
-    usable = docs_with[rarest] > 1
+    ordered = np.lexsort((number, docs_with))
+    order = np.empty(len(number), dtype=np.int32)
+    order[ordered] = np.cumsum(np.diff(number[ordered], prepend=-1) != 0)
+    best, rarest = order[: len(order) - window + 1].copy(), np.arange(len(order) - window + 1)
+    for k in range(1, window):
+        later = order[k : k + len(best)]
+        rarer = later < best
+        best[rarer] = later[rarer]
+        rarest[rarer] = np.flatnonzero(rarer) + k
+    ends = np.cumsum(lens)
+    usable = (docs_with[rarest] > 1) & (np.arange(len(rarest)) + window <= np.repeat(ends, lens)[: len(rarest)])
     new = np.flatnonzero(np.diff(np.where(usable, rarest, -1), prepend=-2) != 0)
     sizes = np.diff(np.append(new, len(rarest)))
     good = usable[new]
     return new[good], sizes[good], rarest[new][good]
 
 
+def _spread_bits(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 class BlockSegments:
-    """Distinct segments of a block, by shard, and where they occur."""
-
-    def __init__(self, block: blocks.Opened, shards: int, window: int):
-        table = np.frombuffer(b"".join(block.answers), dtype="<i8").reshape(-1, 2)
-        self.words: list[np.ndarray] = []
-        self.shard: list[int] = []
-        self.center: list[int] = []
-        self.smallest: list[int] = []
-        self.at: list[list[tuple[int, int]]] = []
-        place: dict[bytes, int] = {}
-        for doc, doc_id, codes in block.documents():
-            own = LAST if doc_id is None else doc_id
-            number, docs_with = table[codes, 0], table[codes, 1]
-            for start, size, center in zip(*(a.tolist() for a in segments_of(number, docs_with, window))):
-                words = number[start : start + size + window - 1]
-                k = place.setdefault(words.tobytes() + (center - start).to_bytes(2, "little"), len(place))
-                if k == len(self.words):
-                    self.words.append(words)
-                    self.shard.append((int(number[center]) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) * shards >> 64)
-                    self.center.append(center - start)
-                    self.smallest.append(own)
-                    self.at.append([])
-                elif own < self.smallest[k]:
-                    self.smallest[k] = own
-                self.at[k].append((doc, start))
-
-    def by_shard(self) -> Iterator[tuple[int, list[int]]]:
-        shard = np.array(self.shard, dtype=np.int64)
+    """Distinct segments of a block, ordered by shard, and where they occur.
+
+    Equal segments, wherever in the block, are one: they are told by a 64-bit digest of
+    words, length and place of the rarest word, from running sums over the block.
+    """
+
+    def __init__(self, left: pd.DataFrame, right: pd.DataFrame, shards: int, window: int):
+        block = left.iloc[0]
+        self.words = blocks.unpack_words(block["words"])
+        table = blocks.answer_table(blocks.word_hashes(self.words), right, 2)
+        self.codes = blocks.unpack_numbers(block["codes"])
+        self.lens = np.asarray(block["lens"], dtype=np.int64)
+        self.ids = [None if pd.isna(i) else int(i) for i in block["ids"]]
+        self.number = table[:, 0][self.codes]
+        start, windows, center = segments_of(self.number, table[:, 1][self.codes], self.lens, window)
+        own = np.array([LAST if i is None else i for i in self.ids], dtype=np.int64)
+        self.id_of = np.repeat(own, self.lens)
+        size = windows + window - 1
+        # sum of the words' bits times powers of an odd base; dividing by a power moves it to the segment's start
+        base, n = 0x9E6C63D0676A9A99, len(self.number)
+        powers, inverse = np.ones(n + 1, dtype=np.uint64), np.ones(n + 1, dtype=np.uint64)
+        powers[1:], inverse[1:] = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        powers, inverse = np.cumprod(powers), np.cumprod(inverse)
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_spread_bits(self.number) * powers[:-1])])
+        digest = (sums[start + size] - sums[start]) * inverse[start]
+        digest = _spread_bits(digest ^ _spread_bits(size * 64 + center - start))
+        _, first, back = np.unique(digest, return_index=True, return_inverse=True)
+        smallest = np.full(len(first), LAST, dtype=np.int64)
+        np.minimum.at(smallest, back, self.id_of[start])
+        shard = ((_spread_bits(self.number[center[first]]) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-            if len(own):
-                yield int(shard[own[0]]), own.tolist()
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        first = first[order]
+        self.shard, self.smallest = shard[order], smallest[order]
+        self.start, self.size, self.center = start[first], size[first], (center - start)[first]
+        self.at, self.segment = start, place[back]  # every occurrence and its segment
+
+    def by_shard(self) -> Iterator[tuple[int, slice]]:
+        edges = [0, *(np.flatnonzero(np.diff(self.shard)) + 1).tolist(), len(self.shard)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b > a:
+                yield int(self.shard[a]), slice(a, b)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each range, one after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
 def _numbers(values) -> bytes:
@@ -208,9 +235,9 @@ def _back(data: bytes) -> np.ndarray:
     return np.frombuffer(blocks.unsqueeze(data), dtype="<i8")
 
 
-def _pack_words(words: list[np.ndarray]) -> bytes:
+def _pack_words(words: np.ndarray) -> bytes:
     """Word numbers as numbers into the list of distinct ones."""
-    names, codes = np.unique(np.concatenate(words), return_inverse=True)
+    names, codes = np.unique(words, return_inverse=True)
     low = blocks.pack_numbers((names & 0xFFFFFFFF).astype(np.uint32))
     high = blocks.pack_numbers((names >> 32).astype(np.uint32))
     head = np.array([len(low), len(high)], dtype="<u4").tobytes()
@@ -285,39 +312,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = packed.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda s, n: s + n))).first()[0] or 0
     shards = max(partitions(docs.sparkSession), int(total * SPREAD // SHARD_WORDS) + 1)
 
-    def send(block: int, opened: blocks.Opened) -> pd.DataFrame:
-        found = BlockSegments(opened, shards, window)
+    def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = BlockSegments(left, right, shards, window)
         rows = [(
-            block, shard, _pack_words([found.words[k] for k in own]), _numbers([len(found.words[k]) for k in own]),
-            _numbers([found.center[k] for k in own]), _numbers([found.smallest[k] for k in own]),
+            left["block"].iloc[0], shard, _pack_words(found.number[_ranges(found.start[own], found.size[own])]),
+            _numbers(found.size[own]), _numbers(found.center[own]), _numbers(found.smallest[own]),
         ) for shard, own in found.by_shard()]
         return pd.DataFrame(rows, columns=["block", "shard", "words", "sizes", "centers", "docs"])
 
-    sent = blocks.unpack(packed, numbered, send, "block long, shard int, words binary, sizes binary, centers binary, docs binary")
+    sent = packed.groupBy("block").cogroup(numbered.groupBy("block")).applyInPandas(
+        send, "block long, shard int, words binary, sizes binary, centers binary, docs binary")
     answered = sent.groupBy("shard").applyInPandas(lambda rows: _answer_shard(rows, window), "block long, shard int, found binary")
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        opened = blocks.open_block(left, right[right["shard"] < 0])
-        words = blocks.unpack_words(left["words"].iloc[0])
-        found = BlockSegments(opened, shards, window)
-        gone = [np.zeros(n, dtype=bool) for n in opened.lens.tolist()]
+        found = BlockSegments(left, right[right["shard"] < 0], shards, window)
         answers = {s: _back(a) for s, a in zip(right["shard"], right["answers"]) if s >= 0}
-        for shard, own in found.by_shard():
-            at, values = 0, answers[shard]
-            for k in own:
-                n = len(found.words[k]) - window + 1
-                smallest = np.where(values[at : at + n] < 0, found.smallest[k], np.minimum(values[at : at + n], found.smallest[k]))
-                at += n
-                for doc, start in found.at[k]:
-                    own_id = opened.ids[doc]
-                    for w in np.flatnonzero(smallest < (LAST if own_id is None else own_id)).tolist():
-                        gone[doc][start + w : start + w + window] = True
-        rows = []
-        for doc, doc_id, codes in opened.documents():
-            mask = gone[doc]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
-            kept = b" ".join([words[c] for c in codes[~mask].tolist()])
-            rows.append((doc_id, len(codes), int(mask.sum()), edges.reshape(-1, 2).tolist(), kept.decode()))
+        windows = found.size - window + 1
+        smallest = np.repeat(found.smallest, windows)
+        values = np.concatenate([answers[s] for s, _ in found.by_shard()] or [np.zeros(0, np.int64)])
+        smallest = np.where(values < 0, smallest, np.minimum(values, smallest))
+        # every occurrence's windows, against its own document
+        times = windows[found.segment]
+        first_window = (np.cumsum(windows) - windows)[found.segment]
+        place = _ranges(found.at, times)
+        place = place[smallest[_ranges(first_window, times)] < found.id_of[place]]
+        edges = np.bincount(place, minlength=len(found.codes) + window + 1) - np.bincount(place + window, minlength=len(found.codes) + window + 1)
+        gone = np.cumsum(edges)[: len(found.codes)] > 0
+        rows, end = [], 0
+        for doc_id, size in zip(found.ids, found.lens.tolist()):
+            mask, codes = gone[end : end + size], found.codes[end : end + size]
+            end += size
+            changes = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+            kept = b" ".join([found.words[c] for c in codes[~mask].tolist()])
+            rows.append((doc_id, size, int(mask.sum()), changes.reshape(-1, 2).tolist(), kept.decode()))
         out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "removed", "kept_text"])
         return out.assign(doc_id=out["doc_id"].astype("Int64"))
 
