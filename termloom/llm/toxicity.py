@@ -41,7 +41,9 @@ SHARED, REACH = 0.7, 3
 #: Words are compared in pieces of this many letters, which overlap by half.
 PIECE = 16
 #: Words whose kernel values a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+#: Texts whose words are compared together.
+TOGETHER = 500
 PENALTY = 10.0
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 
@@ -136,6 +138,12 @@ class Features:
         self.landmarks, self.near, self.far = landmarks, {}, set()
 
     def of(self, texts: Iterable[str | None]) -> np.ndarray:
+        """A row per text; few texts are held as word sets at a time."""
+        texts = list(texts)
+        parts = [self._of(texts[at : at + TOGETHER]) for at in range(0, len(texts), TOGETHER)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.landmarks.names)), dtype=np.float32)
+
+    def _of(self, texts: list[str | None]) -> np.ndarray:
         split = [words_of(t) if t else set() for t in texts]
         fresh = list(set().union(*split) - self.near.keys() - self.far) if split else []
         if len(self.far) + len(fresh) > REMEMBERED:
