@@ -63,8 +63,12 @@ def _size_class(n: int) -> int:
     return n.bit_length() - 1
 
 
-def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> np.ndarray:
-    """Keys under which a set is indexed.
+def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys under which a set is indexed, and for each the most tokens it leaves to have in common.
+
+    The room of a key holds for a pair's first key: the one whose last token comes first in
+    the order. Common tokens before that one are at most one for each class of frequent
+    tokens, so the overlap is at most those and the tokens from there on.
 
     Sets are compared within a size class, that of the larger one; so a set is indexed for
     its own class and for that of the largest set it can be similar to. Sets of one token
@@ -72,12 +76,12 @@ def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> np.n
     """
     n = len(tokens)
     if n < 2:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     must_have = n - math.ceil(round(similarity * n, 9)) + 1
     order = np.lexsort((tokens, bound))
     tokens, bound = tokens[order], bound[order]
     frequent = bound > FREQUENT
-    keys = []
+    keys, rooms = [], []
     for size_class in sorted({_size_class(n), _size_class(int(n / similarity))}):
         classes = max(1, (1 << size_class) // CLASS_TOKENS)
         counts = np.ones(n, dtype=np.int64)
@@ -87,7 +91,9 @@ def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> np.n
         counts[places[first]] = 0  # the first of a class adds no pair
         end = int(np.searchsorted(np.cumsum(counts), must_have)) + 1
         own = tokens[:end]
-        keys.append(own[~frequent[:end] & (bound[:end] > 1)])
+        rare = np.flatnonzero(~frequent[:end] & (bound[:end] > 1))
+        keys.append(own[rare])
+        rooms.append(n - rare)
         places = np.flatnonzero(frequent[:end])
         by_class = places[np.argsort(kind[places], kind="stable")]
         for group in np.split(by_class, np.flatnonzero(np.diff(kind[by_class])) + 1):
@@ -95,7 +101,12 @@ def index_keys(tokens: np.ndarray, bound: np.ndarray, similarity: float) -> np.n
                 a, b = np.triu_indices(len(group), 1)
                 x, y = own[group[a]], own[group[b]]
                 keys.append((((x ^ (y * MIX)) * STEP) ^ np.uint64(size_class + 1)) * MIX)
-    return np.unique(np.concatenate(keys))
+                rooms.append(n - group[b] + classes)
+    keys, rooms = np.concatenate(keys), np.concatenate(rooms)
+    order = np.lexsort((-rooms, keys))
+    keys, rooms = keys[order], rooms[order]
+    first = np.diff(keys, prepend=keys[:1] ^ np.uint64(1)) != 0
+    return keys[first], np.minimum(rooms[first], n)
 
 
 def _sums(words: list[bytes], docs_with: np.ndarray, _: int) -> list[bytes]:
@@ -230,27 +241,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for number, doc_id, codes in block.documents():
             tokens, bound = tokens_of(codes, block.hashes, docs_with, words)
             key = xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
-            keys, bits = None, None
+            keys, rooms, bits = None, None, None
             if key is not None and key not in seen:
                 seen.add(key)
-                keys, bits = index_keys(tokens, bound, similarity).view(np.int64), sketch(tokens)
-            rows.append((number_of_block << blocks.DOC_BITS | number, doc_id, key, len(tokens), keys, bits))
-        found = pd.DataFrame(rows, columns=["loc", "doc_id", "key", "n", "keys", "sketch"])
+                keys, rooms = index_keys(tokens, bound, similarity)
+                keys, rooms, bits = keys.view(np.int64), rooms.astype(np.int32), sketch(tokens)
+            rows.append((number_of_block << blocks.DOC_BITS | number, doc_id, key, len(tokens), keys, rooms, bits))
+        found = pd.DataFrame(rows, columns=["loc", "doc_id", "key", "n", "keys", "rooms", "sketch"])
         return found.assign(doc_id=found["doc_id"].astype("Int64"))
 
     made = stage(
-        blocks.unpack(packed, answers, sets_of, "loc long, doc_id long, key binary, n long, keys array<long>, sketch binary"), "token-sets",
+        blocks.unpack(packed, answers, sets_of, "loc long, doc_id long, key binary, n long, keys array<long>, rooms array<int>, sketch binary"), "token-sets",
     )
     # one place stands for each set, wherever it occurs
     first = stage(made.filter("keys IS NOT NULL").groupBy("key").agg(F.min("loc").alias("loc")), "places")
-    chosen = made.select("loc", "n", "keys").filter(F.size("keys") > 0).join(first.select("loc"), "loc", "left_semi")
-    postings = chosen.select(F.explode("keys").alias("sig"), "loc")
-    # keys with one set go; of keys with the same sets, told by count and two digests of the places, one stays
+    chosen = made.select("loc", "n", "keys", "rooms").filter(F.size("keys") > 0).join(first.select("loc"), "loc", "left_semi")
+    postings = chosen.select("loc", F.col("n").cast("int").alias("n"), F.inline(F.arrays_zip(F.col("keys").alias("sig"), F.col("rooms").alias("room"))))
+    # keys with one set go; keys with the same sets, told by count and two digests of the places, are one list
     mark = F.xxhash64("loc")
     lists = postings.groupBy("sig").agg(
         F.count("*").alias("sets"), F.bit_xor(mark).alias("mark"), F.sum(F.shiftrightunsigned(mark, 32)).alias("total"), F.min("loc").alias("pivot")
-    ).filter("sets > 1").groupBy("sets", "mark", "total").agg(F.min("sig").alias("sig"), F.min("pivot").alias("pivot"))
-    postings = stage(postings.join(lists.select("sig", "pivot"), "sig"), "postings")
+    ).filter("sets > 1").select("sig", F.xxhash64("sets", "mark", "total").alias("list"), "pivot")
+    postings = stage(postings.join(lists, "sig").groupBy("list", "loc", "n", "pivot").agg(F.max("room").alias("room")), "postings")
     sketches = stage(made.select("loc", "n", "sketch").join(postings.select("loc").distinct(), "loc", "left_semi"), "sketches")
 
     star = postings.filter("loc <> pivot").select(F.col("pivot").alias("a"), F.col("loc").alias("b")).distinct()
@@ -260,13 +272,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # what is left: sets that share a key and are in different groups
     grouped = stage(postings.join(found.withColumnRenamed("node", "loc"), "loc", "left").select(
-        "sig", "loc", F.coalesce("comp", "loc").alias("comp")
+        "list", "loc", "n", "room", F.coalesce("comp", "loc").alias("comp")
     ), "grouped")
-    mixed = grouped.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("sig")
-    still = grouped.join(mixed, "sig", "left_semi")
-    left = still.select("sig", F.col("loc").alias("a"), F.col("comp").alias("comp_a"))
-    right = still.select("sig", F.col("loc").alias("b"), F.col("comp").alias("comp_b"))
-    rest = left.join(right, "sig").filter("a < b AND comp_a <> comp_b").select("a", "b").distinct()
+    mixed = grouped.groupBy("list").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("list")
+    still = grouped.join(mixed, "list", "left_semi")
+    left, right = (still.select("list", *[F.col(c).alias(f"{c}_{side}") for c in ("loc", "n", "room", "comp")]) for side in "ab")
+    # sets of fitting sizes only, whose keys leave room for the overlap that the similarity takes
+    share = round(similarity * 100)
+    fitting = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * share) & (
+        F.least("room_a", "room_b") * (100 + share) >= (F.col("n_a") + F.col("n_b")) * share)
+    rest = left.join(right, "list").filter("loc_a < loc_b AND comp_a <> comp_b").filter(fitting).select(
+        F.col("loc_a").alias("a"), F.col("loc_b").alias("b")).distinct()
     near = stage(_maybe_similar(rest, sketches, similarity), "near")
     more = stage(_verified(near, packed, words, similarity), "more-links")
     every = components(links.union(more), "components")
