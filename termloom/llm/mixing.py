@@ -281,9 +281,10 @@ def mixed_counts(docs: DataFrame, weights: Sequence[float], factor: float, most:
     # a block is drawn at most `most` times, rounded up
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda sum_, words: sum_ + F.greatest(
         F.least(words, F.col("high")) - F.col("low"), F.lit(0)).cast("long"))
-    found = cut.join(drawn, ["number", "block"]).groupBy("number", "start", "doc_id").agg(F.sum(taken).alias("taken"))
+    # the slots come from a range, so Spark takes them for few rows: they must not be broadcast
+    found = cut.join(drawn.hint("merge"), ["number", "block"]).groupBy("number", "start", "doc_id").agg(F.sum(taken).alias("taken"))
     key = (F.col("p.number") == F.col("t.number")) & (F.col("p.start") == F.col("t.start")) & (F.col("p.size") > 0)
-    return places.alias("p").join(found.alias("t"), key, "left").select(
+    return places.alias("p").join(found.hint("merge").alias("t"), key, "left").select(
         F.col("p.doc_id").alias("doc_id"), "p.size", "p.source_size", "p.target", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken")
     )
 
@@ -327,7 +328,7 @@ def mixed_texts(docs: DataFrame, weights: Sequence[float], factor: float, most:
     parts = placed(numbered, sources).select("row", "number", F.explode(cut("text", "start")).alias("part")).select("row", "number", "part.*")
     drawn = slots(spark, sources)
     room = F.least("words", F.col("high")) - F.col("low")
-    joined = parts.join(drawn, ["number", "block"]).withColumn("room", room).filter("room > 0")
+    joined = parts.join(drawn.hint("merge"), ["number", "block"]).withColumn("room", room).filter("room > 0")
     whole = F.when(F.col("room") == F.col("high") - F.col("low"), F.col("text")).otherwise(shortened("text", "room"))
     names = [F.col("taken_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in own]
     return joined.withColumn("taken_text", whole).select(*names, "shard", "slot", "low")
