@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import partitions
+from termloom.llm.common import give_back, partitions
 from termloom.operators.staging import new_path
 
 #: A block is closed when its texts have this many bytes.
@@ -125,6 +125,8 @@ def pack(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], lis
                     number, open_block = number + 1, Block(copies_once)
         if open_block.docs:
             yield open_block.row(first + number)
+        del open_block
+        give_back()
 
     name = f"blocks_{uuid.uuid4().hex}"
     (
@@ -224,6 +226,7 @@ def unpack(blocks: DataFrame, answers: DataFrame, rows_of: Callable[[int, Opened
     """
 
     def together(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         return rows_of(int(left["block"].iloc[0]), open_block(left, right))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(together, schema)

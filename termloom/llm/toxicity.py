@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.common import give_back
+
 ORDER, DECAY = 3, 0.5
 #: Values are raised to this power, again a kernel, so that many half-similar words do not add up to an insult.
 POWER = 2
@@ -305,6 +307,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         features = Features(table)
         for batch in batches:
             yield pd.DataFrame({"x": list(features.of(batch["text"])), "label": batch["label"]})
+        del features
+        give_back()
 
     found = rows.mapInPandas(values, "x array<float>, label int").toPandas()
     x, label = np.array(found["x"].tolist(), dtype=np.float64), found["label"].to_numpy()
@@ -331,5 +335,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         features = Features(landmarks)
         for batch in batches:
             yield pd.Series(model.scores(features.of(batch)))
+        del features
+        give_back()
 
     return docs.withColumn(out, scores(F.col(text_col)))
