@@ -1,9 +1,12 @@
 """Toxicity by a gap-weighted subsequence kernel, Nyström landmarks and a linear SVM.
 
 Words are compared with short landmarks by the kernel that sums, over all subsequences of
-`ORDER` letters the two share, `DECAY` to the length each of them spans; letters between
-cost a factor and no more, so `id-iot` or `i d i o t` stay close to `idiot`. Landmarks are
-the letter runs that tell labelled toxic texts from clean ones best. A document's kernel
+`ORDER` letters the two share, `DECAY` to the length each of them spans. A word that has all
+letters of a landmark in order is also compared by subsequences of the landmark's length,
+where a letter between costs a factor of `WHOLE_DECAY` and no more: `idxiot` stays close to
+`idiot`. A word also counts without what is no letter, and single letters in a row count as
+a word, so `i--d--i--o--t` and `i d i o t` are `idiot`. Landmarks are the letter runs that
+tell labelled toxic texts from clean ones best, each also without its start. A document's
 value with a landmark is its best word's, the Nyström map whitens these values by the
 kernel matrix of the landmarks, a linear SVM weighs them, and a logistic curve fitted to
 its margins turns them into a score from 0 to 1.
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 
 from termloom.llm.common import give_back
 
-ORDER, DECAY = 3, 0.5
-#: Values are raised to this power, again a kernel, so that many half-similar words do not add up to an insult.
+ORDER, DECAY, WHOLE_DECAY = 3, 0.5, 0.95
+#: Values of order `ORDER` are raised to this power, again a kernel, so that many half-similar words do not add up to an insult.
 POWER = 2
 #: Stands before every word and counts as a letter of it.
 START = "^"
@@ -37,25 +40,30 @@ MIN_TOXIC, MIN_GAIN, CANDIDATES = 3, 10, 2000
 #: Least logarithm of the ratio of a candidate's rates in toxic and clean texts.
 MIN_RATIO = 1.5
 COVER, SAME = 3, 0.6
-#: Least share of a landmark's neighbouring letter pairs a word must have, at most
-#: `REACH` - 1 letters between the two, for a kernel value other than 0.
-SHARED, REACH = 0.7, 3
-#: Words are compared in pieces of this many letters, which overlap by half.
+#: Least share of a landmark's letters that a word must have in their order, whatever lies
+#: between them, for a kernel value other than 0.
+SHARED = 0.7
+#: Words of up to `PIECE` letters are compared whole, longer ones in pieces of twice as many, which overlap by half.
 PIECE = 16
 #: Words whose kernel values a task remembers.
 REMEMBERED = 300_000
-#: Texts whose words are compared together.
+#: Texts whose words are compared together, and words near a landmark that are.
 TOGETHER = 500
+#: A landmark with this score and this logarithm of the ratio of its rates makes a text toxic alone.
+SURE_GAIN, SURE_RATIO = 80, 3
 PENALTY = 10.0
-SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def words_of(text: str) -> set[str]:
-    """Lower-cased words, and every run of three or more single letters as one more word."""
+    """Lower-cased words, every run of three or more single letters as one more word, and all of these without what is no letter."""
     lowered = text.lower()
     words = set(lowered.split())
     if SPACED.search(lowered):
         words.update("".join(run.split()) for run in SPACED.findall(lowered))
+    words.update([NO_LETTERS.sub("", w) for w in words if not w.isalpha()])
+    words.discard("")
     return words
 
 
@@ -68,21 +76,23 @@ def _codes(strings: list[str], width: int) -> np.ndarray:
     return out
 
 
-def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def kernel(left: np.ndarray, right: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
     """Subsequence kernel of the rows of two equally long code tables, row by row."""
     rows, length = right.shape
-    hits = [np.where((left[:, i : i + 1] == right) & (right > 0), DECAY**2, 0) for i in range(left.shape[1])]
-    # prefix[i][:, j]: value of the shorter subsequences of the left string's first i and the right one's first j letters
-    prefix = [np.ones((rows, length + 1))] * (left.shape[1] + 1)
-    for _ in range(1, ORDER):
-        longer = [np.zeros((rows, length + 1))]
+    right = np.ascontiguousarray(right.T)
+    hits = [np.where((left[:, i] == right) & (right > 0), decay**2, 0) for i in range(left.shape[1])]
+    # prefix[i][j]: value of the shorter subsequences of the left string's first i and the right one's first j letters
+    prefix = [np.ones((length + 1, rows))] * (left.shape[1] + 1)
+    for _ in range(1, order):
+        longer = [np.zeros((length + 1, rows))]
         for i, hit in enumerate(hits):
-            ending = np.zeros((rows, length + 1))
-            for j in range(length):
-                ending[:, j + 1] = DECAY * ending[:, j] + hit[:, j] * prefix[i][:, j]
-            longer.append(DECAY * longer[-1] + ending)
+            ending = np.zeros((length + 1, rows))
+            np.multiply(hit, prefix[i][:-1], out=ending[1:])
+            for j in range(1, length):
+                ending[j + 1] += decay * ending[j]
+            longer.append(decay * longer[-1] + ending)
         prefix = longer
-    return sum((hit * prefix[i][:, :-1]).sum(axis=1) for i, hit in enumerate(hits))
+    return sum((hit * prefix[i][:-1]).sum(axis=0) for i, hit in enumerate(hits))
 
 
 @dataclass
@@ -95,42 +105,57 @@ class Landmarks:
         self.width = max([len(n) for n in self.names], default=1)
         self.codes = _codes(self.names, self.width)
         self.own = np.maximum(kernel(self.codes, self.codes), 1e-9)
-        self.pairs = [_pair_bits(self.codes[i : i + 1, : len(n)], 1)[:, 0] for i, n in enumerate(self.names)]
+        # letters of the landmarks are numbered from 1 on; all others are 0
+        letters = sorted(set("".join(self.names)))
+        self.number = np.zeros(0x110000, dtype=np.uint8 if len(letters) < 256 else np.uint32)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.places = np.zeros((len(self.names), len(letters) + 1), dtype=np.uint16 if self.width < 16 else np.uint64)
+        for j, name in enumerate(self.names):
+            for i, c in enumerate(name):
+                self.places[j, self.number[ord(c)]] |= self.places.dtype.type(1 << i)
 
     def values(self, words: list[str]) -> np.ndarray:
-        """Powers of kernel values, in terms of the landmark's own one and at most 1: a row per word."""
+        """Kernel values, in terms of the landmark's own one and at most 1, the better of the two orders: a row per word."""
         out = np.zeros((len(words), len(self.names)), dtype=np.float32)
+        marked = [START + w for w in words]
+        short = np.array([k for k, w in enumerate(marked) if len(w) <= PIECE], dtype=np.int64)
+        self._compare(out, [marked[k] for k in short], short, PIECE)
         pieces, owner = [], []
-        for k, word in enumerate(START + w for w in words):
-            for at in range(0, max(1, len(word) - PIECE // 2), PIECE // 2):
-                pieces.append(word[at : at + PIECE])
-                owner.append(k)
-        owner = np.array(owner, dtype=np.int64)
-        codes = _codes(pieces, PIECE)
-        bits = _pair_bits(codes, REACH)
-        for j, wanted in enumerate(self.pairs):
-            used = np.flatnonzero(wanted)
-            shared = sum(np.bitwise_count(bits[i] & wanted[i]) for i in used)
-            near = np.flatnonzero(shared >= SHARED * np.bitwise_count(wanted).sum())
-            if len(near):
-                found = kernel(codes[near], np.repeat(self.codes[j : j + 1], len(near), axis=0))
-                np.maximum.at(out[:, j], owner[near], np.minimum(found / self.own[j], 1) ** POWER)
+        for k, word in enumerate(marked):
+            if len(word) > PIECE:
+                for at in range(0, max(1, len(word) - PIECE), PIECE):
+                    pieces.append(word[at : at + 2 * PIECE])
+                    owner.append(k)
+        self._compare(out, pieces, np.array(owner, dtype=np.int64), 2 * PIECE)
         return out
 
-
-def _pair_bits(codes: np.ndarray, reach: int) -> np.ndarray:
-    """256 bits a row, as four numbers: which pairs of letters at most `reach` apart it has, by a hash."""
-    bits = np.zeros((4, len(codes)), dtype=np.uint64)
-    letters = codes.T.astype(np.uint32)
-    rows = np.arange(len(codes))
-    for apart in range(1, reach + 1):
-        for i in range(codes.shape[1] - apart):
-            a, b = letters[i], letters[i + apart]
-            if not b.any():
-                continue
-            place = ((a * np.uint32(31) + b) * np.uint32(2654435761)) >> np.uint32(24)
-            bits[place >> np.uint32(6), rows] |= np.where(b > 0, np.uint64(1) << (place & np.uint32(63)).astype(np.uint64), np.uint64(0))
-    return bits
+    def _compare(self, out: np.ndarray, pieces: list[str], owner: np.ndarray, width: int) -> None:
+        if not pieces:
+            return
+        codes = _codes(pieces, width)
+        numbers = self.number[codes.T]
+        for j, name in enumerate(self.names):
+            shared, code = _in_order(numbers, self.places[j], len(name)), self.codes[j : j + 1, : len(name)]
+            near = np.flatnonzero(shared >= SHARED * len(name))
+            for at in range(0, len(near), TOGETHER):
+                some = near[at : at + TOGETHER]
+                found = kernel(np.repeat(code, len(some), axis=0), codes[some])
+                np.maximum.at(out[:, j], owner[some], np.minimum(found / self.own[j], 1) ** POWER)
+            whole = np.flatnonzero(shared == len(name))
+            for at in range(0, len(whole), TOGETHER):
+                some = whole[at : at + TOGETHER]
+                found = kernel(np.repeat(code, len(some), axis=0), codes[some], len(name), WHOLE_DECAY)
+                np.maximum.at(out[:, j], owner[some], np.minimum(found / WHOLE_DECAY ** (2 * len(name)), 1))
+
+
+def _in_order(numbers: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Length of the longest common subsequence of each column of letter numbers and one landmark, a bit per letter of it."""
+    whole = places.dtype.type((1 << length) - 1)
+    missing = np.full(numbers.shape[1], whole)
+    for row in numbers:
+        hit = missing & places[row]
+        missing = (missing + hit) | (missing - hit)
+    return length - np.bitwise_count(missing & whole)
 
 
 class Features:
@@ -148,14 +173,14 @@ class Features:
     def _of(self, texts: list[str | None]) -> np.ndarray:
         split = [words_of(t) if t else set() for t in texts]
         fresh = list(set().union(*split) - self.near.keys() - self.far) if split else []
-        if len(self.far) + len(fresh) > REMEMBERED:
+        if len(self.near) + len(self.far) + len(fresh) > REMEMBERED:
             self.near, self.far = {}, set()
             fresh = list(set().union(*split))
         for at in range(0, len(fresh), 50_000):
             some = fresh[at : at + 50_000]
             values = self.landmarks.values(some)
-            close = values.max(axis=1, initial=0) > 0.05
-            self.near.update((some[i], values[i]) for i in np.flatnonzero(close))
+            close = values.any(axis=1)
+            self.near.update((some[i], values[i].copy()) for i in np.flatnonzero(close))
             self.far.update(some[i] for i in np.flatnonzero(~close))
         out = np.zeros((len(split), len(self.landmarks.names)), dtype=np.float32)
         for row, words in enumerate(split):
@@ -209,7 +234,9 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
     A run scores its toxic texts times the logarithm of the ratio of its two rates. Of the
     `CANDIDATES` best, the one that scores most on texts that fewer than `COVER` chosen ones
     cover is taken, again and again, until `limit` are or a further one would cover fewer
-    than `MIN_TOXIC` texts. Runs of nearly the same texts as a chosen one are passed over.
+    than `MIN_TOXIC` texts. Runs of nearly the same texts as a chosen one are passed over,
+    but a run that starts a word is also taken without its start, so that it is found inside
+    words: those come on top of `limit`.
     """
     sizes = dict(rows.groupBy("label").count().collect())
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -249,7 +276,8 @@ def choose_landmarks(rows: DataFrame, limit: int = LANDMARKS) -> list[str]:
         need -= has[:, top]
         both = has[has[:, top]].sum(axis=0)
         usable &= both <= SAME * (sizes_of + sizes_of[top] - both)
-    return chosen
+    inside = [g.removeprefix(START) for g in chosen if g.startswith(START) and len(g) > min(GRAMS)]
+    return list(dict.fromkeys(chosen + inside))
 
 
 def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
@@ -311,11 +339,27 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         give_back()
 
     found = rows.mapInPandas(values, "x array<float>, label int").toPandas()
-    x, label = np.array(found["x"].tolist(), dtype=np.float64), found["label"].to_numpy()
-    gram = table.values([n.removeprefix(START) for n in names]).astype(np.float64)
-    gram = (gram + gram.T) / 2
+    return _train(table, np.array(found["x"].tolist(), dtype=np.float64), found["label"].to_numpy())
+
+
+def _train(table: Landmarks, x: np.ndarray, label: np.ndarray) -> Model:
+    """Nyström map, SVM and curve from the landmark values of labelled texts.
+
+    Most toxic texts hold several landmarks, and some none, so a plain fit asks for several.
+    Each sure landmark of a toxic text is therefore also learned alone, in an average clean text.
+    """
+    names = table.names
+    alone = table.values([n.removeprefix(START) for n in names]).astype(np.float64)
+    gram = (alone + alone.T) / 2
     power, base = np.linalg.eigh(gram)
     whiten = base / np.sqrt(np.maximum(power, 1e-2)) @ base.T
+    has, toxic = x > 0.999, label > 0
+    pos, neg = has[toxic].sum(axis=0), has[~toxic].sum(axis=0)
+    ratio = np.log((pos + 0.5) / (toxic.sum() + 1) / ((neg + 0.5) / ((~toxic).sum() + 1)))
+    sure = (ratio >= SURE_RATIO) & (pos * ratio >= SURE_GAIN)
+    if sure.any() and not toxic.all():
+        added = np.repeat(np.maximum(alone[sure], x[~toxic].mean(axis=0)), pos[sure], axis=0)
+        x, label = np.vstack([x, added]), np.concatenate([label, np.ones(len(added), dtype=label.dtype)])
     w, bias = _svm(x @ whiten, np.where(label > 0, 1.0, -1.0))
     slope, shift = _curve(x @ whiten @ w + bias, label.astype(np.float64))
     return Model(names, whiten @ w, bias, slope, shift)

@@ -221,6 +221,34 @@ def test_held_out_accuracy_gaps_and_odd_texts(spark, make_docs):
     assert max(scores[7:]) < 0.5 and all(0 <= s <= 1 for s in scores)
 
 
+def test_one_gapped_insult_passes_the_bar(spark, make_docs):
+    rows, rng = toxic_rows(), random.Random(8)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 3 != 1], "doc_id long, toxic int")
+    model = toxicity.fit(make_docs([(i, t, None) for i, t, _ in rows]), toxicity.sample(labels, F.lit(True), "doc_id", "toxic"))
+    clean = [t for i, t, y in rows if i % 3 == 1 and not y]
+    gapped = [gap.join(w) for w in ("grumblok", "zorfwit", "quixbane") for gap in ("-", "--", ".....", "*_*", "1", " ", "  ", " - ")]
+    for word in ("grumblok", "zorfwit", "quixbane"):
+        gapped += [word[:2] + "-" + word[2:], word[:2] + "-" + word[2:4] + "-" + word[4:], word[:4] + "x" + word[4:], word[:3] + "y" + word[3:5] + "k" + word[5:]]
+    planted = [f"{rng.choice(clean)} {w} {rng.choice(clean)}" for w in gapped]
+    docs = make_docs([(i, t, None) for i, t in enumerate(planted + clean)])
+    scores = [r["score"] for r in toxicity.score(docs, model).orderBy("doc_id").collect()]
+    low = [w for w, s in zip(gapped, scores) if s < 0.7]
+    assert not low
+    assert sum(s >= 0.7 for s in scores[len(planted):]) <= 0.02 * len(clean)
+
+
+@pytest.mark.parametrize("pair", [("^idiot", "^idxixot", 2), ("abc", "xaxbxc", 2), ("abcd", "acbd", None)])
+def test_whole_landmarks(pair):
+    landmark, word, between = pair
+    marks = toxicity.Landmarks([landmark])
+    numbers = marks.number[toxicity._codes([word], 12).T]
+    whole = toxicity._in_order(numbers, marks.places[0], len(landmark))[0] == len(landmark)
+    assert whole == (between is not None)
+    value = marks.values([word.removeprefix("^")])[0, 0]
+    if whole:
+        assert value == pytest.approx(toxicity.WHOLE_DECAY**between, abs=1e-6)
+
+
 def test_one_class_gives_its_share(spark, make_docs):
     docs = make_docs([(1, "a b", None), (2, None, None)])
     labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
