@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, topk_search, toxicity, url_filter, warc
+from termloom.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    resample,
+    substring_dedup,
+    token_alignment,
+    topk_search,
+    toxicity,
+    url_filter,
+    warc,
+)
 from termloom.llm.common import table
 from termloom.operators.staging import new_path
 
@@ -100,6 +114,27 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+DRAWN_SHARE = (5, 100)
+
+
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), DRAWN_SHARE)
+
+
+TOKENIZERS = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, TOKENIZERS))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -112,6 +147,9 @@ def queries() -> dict[str, Query]:
         "op8_ngram_join": op8_ngram_join,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_resample": op11_resample,
+        "op12_token_alignment": op12_token_alignment,
+        "op13_decontaminate": op13_decontaminate,
     }
 
 
@@ -122,6 +160,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": OP7,
         "op8_ngram_join": OP8,
         "op9_exact_dedup": OP9,
+        "op13_decontaminate": OP13,
     }
 
 
@@ -210,3 +249,31 @@ WITH hashed AS (
 ), groups AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY ALL)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM hashed JOIN groups USING (text_sha256)
 """
+
+OP13 = """
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), iw AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM iw WHERE len(w) > 0)
+), shown AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS x
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM dw, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)
+), found AS (
+  SELECT doc_id, s, n, item_id FROM shown JOIN wins USING (n, x)
+), hit AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS pos FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
