@@ -15,14 +15,19 @@ ROW_OVERHEAD = 64
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure `df` with one aggregate over it: does it stay below `limit` bytes?"""
+    """Measure `df` with one aggregate over it: does it stay below `limit` bytes?
+
+    Nested columns count as long as they are written out, numbers are part of a row's overhead.
+    """
     width = F.lit(ROW_OVERHEAD)
     for name, kind in df.dtypes:
-        if kind == "string":
+        if kind in ("string", "binary"):
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith("array<string"):
             width = width + F.coalesce(F.octet_length(F.array_join(name, " ")), F.lit(0))
             width = width + 8 * F.greatest(F.size(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(name)))), F.lit(0))
     return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= limit
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.dependence import MU, dirichlet_mixture
+from termloom.operators.dependence import MU, dirichlet_mixture, mixture_model
 from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import top_k
+from termloom.operators.ranges import Model
 from termloom.operators.scorers import background, search, total, unit_statistics
 from termloom.operators.staging import stage
 
@@ -44,15 +45,23 @@ def prms(
     pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Query log likelihood with mapped field weights; terms unseen in every field add 0."""
+    return dirichlet_mixture(index, _mapped_units(index, units, fields), list(fields), mu, pairs)
+
+
+def prms_model(index: TextIndex, units: DataFrame, fields: Sequence[str] = ENTITY_FIELDS, mu: float = MU) -> Model:
+    """`prms` for the exact top k."""
+    return mixture_model(index, _mapped_units(index, units, fields), list(fields), mu)
+
+
+def _mapped_units(index: TextIndex, units: DataFrame, fields: Sequence[str]) -> DataFrame:
     p = {f: background(index, f) for f in fields}
     every = total(list(p.values()))
-    stats = unit_statistics(index, units).select(
+    return unit_statistics(index, units).select(
         "query_id", *UNIT,
         F.col("qf").cast("double").alias("w"),
         F.struct(*[F.try_divide(p[f], every).alias(f) for f in fields]).alias("w_f"),
         F.struct(*[p[f].alias(f) for f in fields]).alias("p"),
     )
-    return dirichlet_mixture(index, stats, list(fields), mu, pairs)
 
 
 def prms_search(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import fits_broadcast, lookup_join, top_k
+from termloom.operators.ranges import Model
 
 PAIR = ["query_id", "doc_id"]
 
@@ -86,6 +87,11 @@ def simple(index: TextIndex, units: DataFrame, field: str = "body", pairs: DataF
     return per_document(index, rows, (F.col("tf")[field] * F.col("qf")).cast("double"), pairs)
 
 
+def simple_model(units: DataFrame, field: str = "body") -> Model:
+    """`simple` for the exact top k."""
+    return Model([field], units.select("query_id", *UNIT, F.col("qf").cast("double").alias("weight")), F.col("tf")[field].cast("double"))
+
+
 def saturated(field: str, k1: float, b: float, average_dl: float) -> Column:
     tf, norm = F.col("tf")[field], 1 - b + b * F.col("lens")[field] / F.lit(average_dl)
     return tf * (1 + k1) / (tf + k1 * norm)
@@ -101,8 +107,18 @@ def bm25(
 ) -> DataFrame:
     """BM25 with idf ln(N/n); repeated query terms count once."""
     rows = matches(index, unit_statistics(index, units), [field], pairs)
+    return per_document(index, rows, bm25_weight(index, field, b, k1), pairs)
+
+
+def bm25_weight(index: TextIndex, field: str, b: float, k1: float) -> Column:
     idf = F.log(F.lit(float(index.stats.n_docs)) / F.col("df")[field])
-    return per_document(index, rows, saturated(field, k1, b, index.stats.avg_len(field)) * idf, pairs)
+    return saturated(field, k1, b, index.stats.avg_len(field)) * idf
+
+
+def bm25_model(index: TextIndex, units: DataFrame, field: str = "body", b: float = 0.75, k1: float = 1.2) -> Model:
+    """`bm25` for the exact top k."""
+    known = unit_statistics(index, units).select("query_id", *UNIT, "df", F.lit(1.0).alias("weight"))
+    return Model([field], known, bm25_weight(index, field, b, k1))
 
 
 def search(
@@ -143,6 +159,11 @@ def bm25f(
 ) -> DataFrame:
     """BM25F; idf comes from `idf_field`, and a term unseen there adds 0."""
     weights = weights or {"title": 0.2, "body": 0.8}
+    rows = matches(index, unit_statistics(index, units), list(weights), pairs)
+    return per_document(index, rows, bm25f_weight(index, weights, b, k1, idf_field), pairs)
+
+
+def bm25f_weight(index: TextIndex, weights: Mapping[str, float], b: Mapping[str, float] | None, k1: float, idf_field: str) -> Column:
     b = b or dict.fromkeys(weights, 0.75)
 
     def field_count(f: str) -> Column:
@@ -151,10 +172,23 @@ def bm25f(
             return F.lit(0.0)
         return weights[f] * F.col("tf")[f] / (1 - b[f] + b[f] * F.col("lens")[f] / F.lit(average))
 
-    rows = matches(index, unit_statistics(index, units), list(weights), pairs)
     count, df = total([field_count(f) for f in weights]), F.col("df")[idf_field]
     idf = F.when(df > 0, F.log(F.lit(float(index.stats.n_docs)) / df)).otherwise(0.0)
-    return per_document(index, rows, count / (k1 + count) * idf, pairs)
+    return count / (k1 + count) * idf
+
+
+def bm25f_model(
+    index: TextIndex,
+    units: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    b: Mapping[str, float] | None = None,
+    k1: float = 1.2,
+    idf_field: str = "body",
+) -> Model:
+    """`bm25f` for the exact top k."""
+    weights = weights or {"title": 0.2, "body": 0.8}
+    known = unit_statistics(index, units).select("query_id", *UNIT, "df", F.lit(1.0).alias("weight"))
+    return Model(list(weights), known, bm25f_weight(index, weights, b, k1, idf_field))
 
 
 # ---- language models, Jelinek-Mercer ---------------------------------------------------
@@ -183,15 +217,21 @@ def mixture_lm(
     documents. So the score is one number per query plus a gain per matching term:
     ln(m + bg) = ln(bg) + ln(1 + m/bg). Terms the collection lacks add 0.
     """
+    model = lm_model(index, units, weights, smoothing)
+    rows = matches(index, model.units, model.fields, pairs)
+    return add_base(index, per_document(index, rows, F.col("weight") * model.gain, pairs), model.queries)
+
+
+def lm_model(index: TextIndex, units: DataFrame, weights: Mapping[str, float] | None = None, smoothing: float = 0.1) -> Model:
+    """`mixture_lm` in parts, also for the exact top k."""
     weights = weights or {"title": 0.2, "body": 0.8}
     bg = total([weights[f] * smoothing * background(index, f) for f in weights])
-    stats = unit_statistics(index, units).select("query_id", *UNIT, "qf", bg.alias("bg")).filter("bg > 0")
-    base = stats.groupBy("query_id").agg(F.sum(F.col("qf") * F.log("bg")).alias("base"))
+    stats = unit_statistics(index, units).select("query_id", *UNIT, F.col("qf").alias("weight"), bg.alias("bg")).filter("bg > 0")
+    base = stats.groupBy("query_id").agg(F.sum(F.col("weight") * F.log("bg")).alias("base"))
     own = total([
         F.when(
             F.col("lens")[f] > 0, weights[f] * (1 - smoothing) * F.col("tf")[f] / F.col("lens")[f]
         ).otherwise(0.0)
         for f in weights
     ])
-    gain = F.col("qf") * F.log1p(own / F.col("bg"))
-    return add_base(index, per_document(index, matches(index, stats, list(weights), pairs), gain, pairs), base)
+    return Model(list(weights), stats, F.log1p(own / F.col("bg")), base, lambda lengths: F.col("base"))

@@ -21,6 +21,7 @@ from termloom.operators import (
     ltr,
     metrics,
     prms,
+    ranges,
     scorers,
     textclf,
 )
@@ -170,12 +171,17 @@ def _every_document(scorer, fields, kinds="T"):
 
 def bm25_top(spark, sf_dir, k=10):
     idx, units = c.index_for(spark, sf_dir, ["body"])
-    return top_k(scorers.bm25(idx, units), k)
+    return ranges.best_matches(idx, scorers.bm25_model(idx, units), k)
 
 
-def _top_of(name, k=10):
-    """The best documents of a query by another query's scores."""
-    return lambda spark, sf_dir: top_k(queries()[name](spark, sf_dir), k)
+def _best(model, fields, k=10, kinds="T", of=ranges.best_matches):
+    """The best documents by a scorer, without scoring the others."""
+
+    def run(spark, sf_dir):
+        idx, units = c.index_for(spark, sf_dir, fields, kinds)
+        return of(idx, model(idx, units), k)
+
+    return run
 
 
 def bm25_stored_top(spark, sf_dir, k=10):
@@ -183,12 +189,12 @@ def bm25_stored_top(spark, sf_dir, k=10):
     path = new_path(spark, "stored-index")
     sinks.save_index(_full_index(spark, sf_dir), path)
     units = index.query_units(c.queries(spark, sf_dir))
-    return top_k(scorers.bm25(index.restrict(sinks.load_index(spark, path), units), units), k)
+    idx = index.restrict(sinks.load_index(spark, path), units)
+    return ranges.best_matches(idx, scorers.bm25_model(idx, units), k)
 
 
-def best_document(spark, sf_dir):
-    idx, units = c.index_for(spark, sf_dir, ["body"])
-    return top_k(scorers.lm(idx, units), 1)
+def _lm_of_body(idx, units):
+    return scorers.lm_model(idx, units, {"body": 1.0})
 
 
 # ---- entities --------------------------------------------------------------------------
@@ -239,6 +245,12 @@ def prms_topk(spark, sf_dir):
     return prms.prms_search(idx, units)
 
 
+def prms_top(spark, sf_dir, k=10):
+    """The best of all entities of the type, without a first pass."""
+    idx, units = _entity_index(spark, sf_dir)
+    return ranges.best_of_all(idx, prms.prms_model(idx, units), k)
+
+
 # ---- evaluation ------------------------------------------------------------------------
 
 def _predictions(spark, sf_dir):
@@ -375,11 +387,13 @@ def queries():
         "mlm": _scored(scorers.mixture_lm, TITLE_BODY),
         "bm25_top": bm25_top,
         "bm25_stored_top": bm25_stored_top,
-        "simple_top": _top_of("simple"),
-        "lm_top": _top_of("lm_jm"),
-        "bm25f_top": _top_of("bm25f"),
-        "mlm_top": _top_of("mlm"),
-        "best_document": best_document,
+        "simple_top": _best(lambda idx, units: scorers.simple_model(units), ["body"]),
+        "lm_top": _best(_lm_of_body, ["body"]),
+        "bm25f_top": _best(scorers.bm25f_model, TITLE_BODY),
+        "mlm_top": _best(scorers.lm_model, TITLE_BODY),
+        "best_document": _best(_lm_of_body, ["body"], 1),
+        "sdm_top": _best(dependence.sdm_model, ["body"], kinds="TOU", of=ranges.best_of_all),
+        "fsdm_top": _best(dependence.fsdm_model, c.FIELDS, kinds="TOU", of=ranges.best_of_all),
         "lm_every_document": _every_document(scorers.lm, ["body"]),
         "sdm_every_document": _every_document(dependence.sdm, ["body"], "TOU"),
         "sdm_total": _scored(dependence.sdm, ["body"], "TOU"),
@@ -394,6 +408,7 @@ def queries():
         "term_mapping": term_mapping,
         "prms": prms_scores,
         "prms_topk": prms_topk,
+        "prms_top": prms_top,
         "confusion": confusion,
         "evaluate": evaluated,
         "binary_metrics": binary_metrics,

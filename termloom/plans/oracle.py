@@ -469,6 +469,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, doc_id, score FROM (
                 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC)::INTEGER AS rank FROM ({sql[scores]}))
             WHERE rank <= 10"""
+    # every document that is in the collection, matching or not, for every query with a known unit
+    every = ("cand AS (SELECT DISTINCT query_id, doc_id FROM qu JOIN du USING (kind, unit))",
+             "cand AS (SELECT query_id, doc_id FROM (SELECT DISTINCT query_id FROM qu JOIN du USING (kind, unit)) CROSS JOIN docs)")
+    everything = every[1].replace("CROSS JOIN docs", "CROSS JOIN (SELECT DISTINCT doc_id FROM vals)")
+    sql["prms_top"] = f"{_entity_collection()}, {LM_SQL}, {PRMS.format(cand='cand')}, {_top(10)} SELECT {ranked_columns} FROM top".replace(every[0], everything)
+    for name, fields, part in (("sdm_top", ["body"], _dirichlet({})), ("fsdm_top", c.FIELDS, _dirichlet(FSDM_FIELDS))):
+        sql[name] = f"{_scored(fields, 'TOU')}, {_mixture(part, SDM_WEIGHT)}, {_top(10)} SELECT {ranked_columns} FROM top".replace(*every)
     for name, kind in catalog.KIND.items():
         sql[f"sdm_{name}"] = f"{_scored(['body'], kind)}, {_mixture(_dirichlet({}), 'qf')} {ROUND}"
         sql[f"fsdm_{name}"] = f"{_scored(c.FIELDS, kind)}, {_mixture(_dirichlet(FSDM_FIELDS), 'qf')} {ROUND}"
