@@ -81,6 +81,27 @@ def stemmed(tokens: DataFrame, stem_map: DataFrame) -> DataFrame:
     ).drop("stem")
 
 
+def plural_stem(term: Column) -> Column:
+    """English plural endings off: -ies to -y, -es to -e, -s to nothing, with the usual exceptions.
+
+    It is meant for distinct terms (`stem_table`); any other table (term, stem) does as well.
+    """
+    # Endings and the letters before them that keep a word as it is.
+    ies, es, s = "([^ae])ies$", "([^aeo])es$", "([^us])s$"
+    return (
+        F.when(term.rlike(ies), F.regexp_replace(term, ies, "$1y"))
+        .when(term.rlike(es), F.regexp_replace(term, es, "$1e"))
+        .when(term.rlike(s) & ~term.rlike("(ies|es)$"), F.regexp_replace(term, s, "$1"))
+        .otherwise(term)
+    )
+
+
+def stem_table(terms: DataFrame, stem: Callable[[Column], Column] = plural_stem) -> DataFrame:
+    """(term, stem) of the distinct `terms(term)` that a stemmer changes."""
+    stemmed_to = stem(F.col("term"))
+    return terms.select("term").distinct().select("term", stemmed_to.alias("stem")).filter("stem <> term")
+
+
 def idf(n_docs: Column, df: Column) -> Column:
     return F.log(n_docs / df)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.analysis import Analyzer, english_terms, resolve_uri
-from termloom.operators.index import UNIT, TextIndex, _wanted
+from termloom.operators.index import UNIT, TextIndex, _wanted, merged_terms, spellings
 from termloom.operators.joins import fits_broadcast, lookup_join, positions
 from termloom.operators.prms import ENTITY_FIELDS
 from termloom.operators.staging import stage
@@ -97,18 +97,48 @@ def entity_documents(triples: DataFrame, target: str = MUSICAL_ARTIST) -> DataFr
     return positions(values, ["entity_id", "field"], ["predicate", "value"]).select("entity_id", "field", "pos", "value")
 
 
+def about(triples: DataFrame, subjects: DataFrame) -> DataFrame:
+    """The triples about one of `subjects(subject)`.
+
+    A bitmap of the subjects' hashes, ten bits each, cuts the triples where they are read;
+    what passes it, one in ten of the others at most, meets the subjects themselves.
+    """
+    wanted = stage(subjects.select("subject").distinct(), "subjects")
+    bits = max(1, 10 * wanted.count())
+
+    def place(subject: Column) -> Column:
+        return F.pmod(F.xxhash64(subject), F.lit(bits))
+
+    bitmap = (
+        wanted.select(place(F.col("subject")).alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    small = fits_broadcast(bitmap)
+    marked = triples.withColumn("place", place(F.col("subject"))).withColumn("bucket", F.bitmap_bucket_number("place"))
+    met = lookup_join(marked, bitmap, ["bucket"], small, spread_by="subject")
+    bit = F.bitmap_bit_position("place")
+    octet = F.conv(F.hex(F.substr("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    passed = met.filter(F.getbit(octet, (bit % 8).cast("int")) == 1).select(*triples.columns)
+    return lookup_join(passed, wanted, ["subject"], fits_broadcast(wanted), "left_semi", spread_by="object")
+
+
 def entity_index(
     triples: DataFrame,
     units: DataFrame,
     target: str = MUSICAL_ARTIST,
     analyzer: Analyzer = english_terms,
+    stems: DataFrame | None = None,
+    subjects: DataFrame | None = None,
 ) -> TextIndex:
-    """Index of the fielded entities, straight from the triples.
+    """Index of the fielded entities, straight from the triples; with `subjects(subject)` of those entities only.
+
+    With `stems(term, stem)`, terms with one stem count as one; `units` are then those of stemmed queries.
 
     Terms are counted per triple and summed per entity, so no entity's text is ever put
     together; each value counts for its own field and for `catch_all`. Every value also
     adds its length under the empty unit, so counts and lengths come out of one pass.
     """
+    triples = triples if subjects is None else about(triples, subjects)
     values = folded(of_type(triples, target)).select(
         F.col("entity_id").alias("doc_id"), "field", analyzer(F.col("object")).alias("terms")
     )
@@ -117,16 +147,21 @@ def entity_index(
         "terms", lambda t: F.struct(F.lit("T").alias("kind"), t.alias("unit"), F.lit(1).alias("n"))
     )
     counted = values.select("doc_id", "field", F.inline(F.concat(F.array(length), words)))
-    small = fits_broadcast(units)
+    asked = units if stems is None else spellings(units, stems)
+    small = fits_broadcast(asked)
     if small:
-        counted = lookup_join(counted, _wanted(units), UNIT, True, "left_semi")
+        counted = lookup_join(counted, _wanted(asked), UNIT, True, "left_semi")
     counts = [
         F.coalesce(F.sum(F.when(F.col("field") == f, F.col("n"))), F.lit(0)).alias(f)
         for f in ENTITY_FIELDS if f != "catch_all"
     ]
     sums = counted.groupBy("doc_id", *UNIT).agg(F.struct(*counts, F.sum("n").alias("catch_all")).alias("tf"))
     if not small:
-        sums = lookup_join(sums, _wanted(units), UNIT, False, "left_semi")
+        sums = lookup_join(sums, _wanted(asked), UNIT, False, "left_semi")
+    if stems is not None:
+        nameless = sums.withColumn("lens", F.lit(0))
+        sums = merged_terms(nameless, stems, ENTITY_FIELDS).drop("lens")
+        small = fits_broadcast(units)
     sums = stage(sums, "entity-counts")
     own = F.col("unit") == ""
     lens = sums.filter(own).select("doc_id", F.col("tf").alias("lens"))

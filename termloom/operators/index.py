@@ -23,8 +23,8 @@ from termloom.operators.joins import fits_broadcast, lookup_join
 from termloom.operators.staging import stage
 
 UNIT = ["kind", "unit"]
-#: Partitions of a stored index; a unit's hash picks its one.
-UNIT_BUCKETS = 256
+#: Entries of a partition of a stored index, about; a unit's hash picks its one.
+BUCKET_ENTRIES = 250_000
 
 
 # ---- units -----------------------------------------------------------------------------
@@ -82,10 +82,18 @@ def _units_at(kinds: str, window: int, count_rule: str) -> Column:
     return units
 
 
-def query_units(queries: DataFrame, kinds: str = "T", count_rule: str = "pairs") -> DataFrame:
-    """`queries(query_id, terms)` as (query_id, kind, unit, qf); pairs come from neighbours."""
+def query_units(queries: DataFrame, kinds: str = "T", count_rule: str = "pairs", stems: DataFrame | None = None) -> DataFrame:
+    """`queries(query_id, terms)` as (query_id, kind, unit, qf); pairs come from neighbours.
+
+    With `stems(term, stem)` terms are replaced by their stems first.
+    """
     if count_rule not in ("pairs", "anchored"):
         raise ValueError("count_rule is 'pairs' or 'anchored'")
+    if stems is not None:
+        spelled = queries.select("query_id", F.posexplode("terms").alias("pos", "term"))
+        found = lookup_join(spelled, stems, ["term"], fits_broadcast(stems), "left", spread_by="query_id")
+        in_order = F.sort_array(F.collect_list(F.struct("pos", F.coalesce("stem", "term").alias("term"))))
+        queries = found.groupBy("query_id").agg(F.transform(in_order, lambda t: t["term"]).alias("terms"))
     of_kind = {
         "T": lambda t: t,
         "O": adjacent_pairs,
@@ -204,6 +212,7 @@ class StoredIndex(TextIndex):
     stored_documents: DataFrame | None = None
     stored_units: DataFrame | None = None
     stored_fields: DataFrame | None = None
+    buckets: int = 1
 
     @property
     def documents(self) -> DataFrame:
@@ -230,9 +239,16 @@ def build_index(
     count_rule: str = "pairs",
     units: DataFrame | None = None,
     staged: bool = True,
+    places: bool = False,
+    stems: DataFrame | None = None,
 ) -> TextIndex:
     """Count units per document and field.
 
+    With `places`, entries of single terms also have the terms' positions in every field, as
+    a struct of sorted arrays; `positional.paired` counts pairs from those, by any rule.
+    With `stems(term, stem)`, entries of terms with one stem are merged under it; `units` are
+    then those of stemmed queries.
+
     The result is staged for the several reads a scorer makes; `staged=False` leaves it
     lazy for plans that read it once.
 
@@ -266,16 +282,48 @@ def build_index(
         occurrences = occurrences.select("doc_id", "lens", "field", "pos", F.inline(at)).select(
             "doc_id", "lens", "field", "pos", F.coalesce(own_kind, F.col("kind")).alias("kind"), "unit"
         ).filter(F.col("unit").isNotNull() & F.col("kind").isin(["", *kinds]))
+    if stems is not None and kinds != "T":
+        raise ValueError("stems are for single terms; pairs of stems come from positions")
+    asked, units = units, units if units is None or stems is None else spellings(units, stems)
     small = units is not None and fits_broadcast(units)
     if small:
         occurrences = lookup_join(occurrences, _wanted(units), UNIT, True, "left_semi")
-    in_field = [F.count_if((F.col("field") == f) & (F.col("pos") > 0)).alias(f) for f in fields]
-    entries = occurrences.groupBy("doc_id", "lens", *UNIT).agg(F.struct(*in_field).alias("tf"))
+    in_field = {f: (F.col("field") == f) & (F.col("pos") > 0) for f in fields}
+    counted = [F.struct(*[F.count_if(here).alias(f) for f, here in in_field.items()]).alias("tf")]
+    if places:
+        if kinds != "T":
+            raise ValueError("positions are kept for single terms")
+        where = [F.sort_array(F.collect_list(F.when(here, F.col("pos")))).alias(f) for f, here in in_field.items()]
+        counted.append(F.struct(*where).alias("places"))
+    entries = occurrences.groupBy("doc_id", "lens", *UNIT).agg(*counted)
     if units is not None and not small:
         entries = lookup_join(entries, _wanted(units), UNIT, False, "left_semi")
+    if stems is not None:
+        entries = merged_terms(entries, stems, fields)
+        small = asked is not None and fits_broadcast(asked)
     return TextIndex(stage(entries, "index") if staged else entries, tuple(fields), small)
 
 
+def spellings(units: DataFrame, stems: DataFrame) -> DataFrame:
+    """The terms that stand for `units` in texts: themselves, and all terms with such a stem."""
+    own = units.select(*UNIT).distinct()
+    return own.unionByName(stems.join(own.withColumnRenamed("unit", "stem"), "stem").select("kind", F.col("term").alias("unit"))).distinct()
+
+
+def merged_terms(entries: DataFrame, stems: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Entries under their terms' stems: counts added, positions put in order.
+
+    A document has an entry per distinct term, so the table meets the vocabulary of each
+    document, not its text.
+    """
+    found = lookup_join(entries, stems.withColumnRenamed("term", "unit"), ["unit"], fits_broadcast(stems), "left")
+    counts = [F.struct(*[F.sum(F.col("tf")[f]).alias(f) for f in fields]).alias("tf")]
+    if "places" in entries.columns:
+        together = [F.sort_array(F.flatten(F.collect_list(F.col("places")[f]))).alias(f) for f in fields]
+        counts.append(F.struct(*together).alias("places"))
+    return found.withColumn("unit", F.coalesce("stem", "unit")).groupBy("doc_id", "lens", *UNIT).agg(*counts)
+
+
 def restrict(index: TextIndex, units: DataFrame) -> TextIndex:
     """Cut a full index down to the units of some queries.
 
@@ -286,7 +334,7 @@ def restrict(index: TextIndex, units: DataFrame) -> TextIndex:
     if not isinstance(index, StoredIndex):
         return TextIndex(stage(lookup_join(index.entries, wanted, UNIT, small, "left_semi"), "index"), index.fields, small)
     # as many numbers as the index has buckets, at most
-    asked = [r[0] for r in wanted.select(unit_bucket(UNIT_BUCKETS)).distinct().collect()]
+    asked = [r[0] for r in wanted.select(unit_bucket(index.buckets)).distinct().collect()]
 
     def cut(rows: DataFrame, spread_by: str) -> DataFrame:
         rows = rows.filter(F.col("bucket").isin(asked)).drop("bucket")

@@ -10,6 +10,7 @@ from termloom.functions.analysis import (
     entity_key,
     idf,
     standard_terms,
+    stem_table,
     strip_punctuation,
 )
 from termloom.functions.stopwords import ENGLISH
@@ -20,6 +21,7 @@ from termloom.operators import (
     index,
     ltr,
     metrics,
+    positional,
     prms,
     ranges,
     scorers,
@@ -28,7 +30,7 @@ from termloom.operators import (
 from termloom.operators.joins import top_k
 from termloom.operators.staging import new_path, stage
 from termloom.plans import collection as c
-from termloom.sources import sinks
+from termloom.sources import segments, sinks
 
 TITLE_BODY = ["title", "body"]
 PART = c.ONTOLOGY + "Part"
@@ -193,6 +195,70 @@ def bm25_stored_top(spark, sf_dir, k=10):
     return ranges.best_matches(idx, scorers.bm25_model(idx, units), k)
 
 
+#: What one stored index with positions is asked for: windows and counting rules.
+STORED_RULES = [(3, "pairs"), (5, "anchored")]
+
+
+def _positional(spark, sf_dir, fields=("body",)):
+    """An index with positions, stored and read back."""
+    path = new_path(spark, "positions")
+    docs = index.analyzed(c.documents(spark, sf_dir), list(fields))
+    sinks.save_index(index.build_index(docs, list(fields), staged=False, places=True), path)
+    return sinks.load_index(spark, path)
+
+
+def sdm_stored(spark, sf_dir, k=10):
+    """Sequential dependence by two windows and both counting rules, all from one stored index."""
+    stored, found = _positional(spark, sf_dir), None
+    for window, rule in STORED_RULES:
+        units = index.query_units(c.queries(spark, sf_dir), "TOU", rule)
+        best = ranges.best_matches(idx := positional.paired(stored, units, window, rule), dependence.sdm_model(idx, units), k)
+        best = best.select(F.lit(window).alias("near"), F.lit(rule).alias("rule"), "*")
+        found = best if found is None else found.union(best)
+    return found
+
+
+def bm25_grown_top(spark, sf_dir, k=10):
+    """BM25 on an index that grew: half of the documents with their titles only, the others, then the first half as they are."""
+    path = new_path(spark, "grown")
+    docs = index.analyzed(c.documents(spark, sf_dir), TITLE_BODY)
+    middle = docs.agg(F.avg("doc_id")).first()[0]
+    half = docs.filter(F.col("doc_id") <= middle)
+    for part in (half.withColumn("body", F.col("title")), docs.filter(F.col("doc_id") > middle), half):
+        segments.append(index.build_index(part, TITLE_BODY, staged=False), path)
+    units = index.query_units(c.queries(spark, sf_dir))
+    idx = index.restrict(segments.load(spark, path), units)
+    return ranges.best_matches(idx, scorers.bm25_model(idx, units), k)
+
+
+def _stems(docs, fields):
+    """Stems of the collection's distinct terms."""
+    return stage(stem_table(docs.select(F.explode(F.concat(*fields)).alias("term"))), "stems")
+
+
+def stemmed_postings(spark, sf_dir):
+    docs = index.analyzed(c.documents(spark, sf_dir), TITLE_BODY)
+    return index.build_index(docs, TITLE_BODY, staged=False, stems=_stems(docs, TITLE_BODY)).postings
+
+
+def stemmed_bm25(spark, sf_dir):
+    """BM25 with the stems of documents and queries."""
+    docs = index.analyzed(c.documents(spark, sf_dir), ["body"])
+    asked = c.queries(spark, sf_dir)
+    stems = _stems(docs.select("body").union(asked.select("terms")), ["body"])
+    units = index.query_units(asked, stems=stems)
+    return rounded(scorers.bm25(index.build_index(docs, ["body"], units=units, stems=stems), units), "score")
+
+
+def sdm_anchored(spark, sf_dir):
+    """Pairs near each other, counted per position of the first term, from positions."""
+    units = index.query_units(c.queries(spark, sf_dir), "U", "anchored")
+    docs = index.analyzed(c.documents(spark, sf_dir), ["body"])
+    parts = units.select("query_id", F.lit("T").alias("kind"), F.explode(F.split("unit", " ")).alias("unit"), "qf")
+    idx = positional.paired(index.build_index(docs, ["body"], units=parts, places=True), units, 3, "anchored")
+    return rounded(dependence.sdm(idx, units, kind_weights={"U": 1.0}), "score")
+
+
 def _lm_of_body(idx, units):
     return scorers.lm_model(idx, units, {"body": 1.0})
 
@@ -220,6 +286,14 @@ def entity_candidates(spark, sf_dir):
     return entities.candidates(c.page_links(spark, sf_dir), LINK_PREFIX)
 
 
+def candidate_index(spark, sf_dir):
+    """Postings of the query terms over the parts that the listed brand pages link."""
+    names = entities.candidates(c.part_pages(spark, sf_dir), "List of", c.BRANDS)
+    subjects = names.select(F.concat(F.lit(c.RESOURCE), entity_key(F.col("entity"))).alias("subject"))
+    units = index.query_units(c.entity_queries(spark, sf_dir))
+    return entities.entity_index(c.triples(spark, sf_dir), units, PART, subjects=subjects).postings
+
+
 def baseline_topk(spark, sf_dir):
     idx, units = _entity_index(spark, sf_dir)
     return scorers.search(idx, units, ["catch_all"], 100)
@@ -397,12 +471,17 @@ def queries():
         "lm_every_document": _every_document(scorers.lm, ["body"]),
         "sdm_every_document": _every_document(dependence.sdm, ["body"], "TOU"),
         "sdm_total": _scored(dependence.sdm, ["body"], "TOU"),
-        "sdm_anchored": _scored(dependence.sdm, ["body"], "U", count_rule="anchored", kind_weights={"U": 1.0}),
+        "sdm_anchored": sdm_anchored,
+        "sdm_stored": sdm_stored,
+        "bm25_grown_top": bm25_grown_top,
+        "stemmed_postings": stemmed_postings,
+        "stemmed_bm25": stemmed_bm25,
         "fsdm_total": _scored(dependence.fsdm, c.FIELDS, "TOU"),
         "entity_dict": entity_dict,
         "entity_fields": entity_fields,
         "entity_keys": entity_keys,
         "entity_candidates": entity_candidates,
+        "candidate_index": candidate_index,
         "baseline_topk": baseline_topk,
         "collection_lm": collection_lm,
         "term_mapping": term_mapping,

@@ -13,11 +13,11 @@ from termloom.operators.ltr import TRAIN_SHARE, split_bucket
 
 FIELDS = ["title", "body", "anchors"]
 SENTENCE_END = r"[.\n!?]+"
-MIN_SENTENCE = 20
 
 RESOURCE = "http://example.org/resource/"
 ONTOLOGY = "http://example.org/ontology/"
 PROPERTY = "http://example.org/property/"
+BRANDS = "Brands"
 LABEL, NAME = NAME_PREDICATES[:2]
 SUBJECT = TYPE_PREDICATES[1]
 
@@ -56,12 +56,12 @@ def queries(spark: SparkSession, sf_dir: str, analyzer: Analyzer = index_terms)
 
 
 def sentences(df: DataFrame, key: str) -> DataFrame:
-    """(key, sentence) with sentences of at least 20 characters."""
+    """(key, sentence) with all sentences that are not blank."""
     parts = F.explode(F.split("text", SENTENCE_END)).alias("sentence")
     return (
         df.select(key, parts)
         .select(key, F.trim("sentence").alias("sentence"))
-        .filter(F.length("sentence") >= MIN_SENTENCE)
+        .filter(F.col("sentence") != "")
     )
 
 
@@ -158,6 +158,16 @@ def entity_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page, link): a list page per brand with its parts, and a page that links the lists of brands with a part of the largest size."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    name = F.concat(F.lit("List of "), "p_brand")
+    largest = part.agg(F.max("p_size")).first()[0]
+    lists = part.select(name.alias("page"), F.concat(F.lit("Part "), F.col("p_partkey").cast("string")).alias("link"))
+    linked = part.filter(F.col("p_size") == largest).select(F.lit(BRANDS).alias("page"), name.alias("link")).distinct()
+    return lists.union(linked)
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, link): pages named by the first word of their title, with their link targets."""
     pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))

@@ -67,7 +67,7 @@ def _totals() -> str:
                   sum(dl)::BIGINT AS sum_dl FROM dl GROUP BY field)"""
 
 
-def _units(kinds: str, rule: str = "pairs") -> str:
+def _units(kinds: str, rule: str = "pairs", window: int = 3) -> str:
     """CTEs: du (document units with counts), qu (query units with counts), us (df, ttf)."""
     at = "JOIN tok b ON b.doc_id = a.doc_id AND b.field = a.field AND b.pos = a.pos"
     doc, query = [], []
@@ -79,7 +79,7 @@ def _units(kinds: str, rule: str = "pairs") -> str:
         doc.append(f"SELECT a.doc_id, a.field, 'O' AS kind, a.term || ' ' || b.term AS unit FROM tok a {at} + 1")
         query.append(f"SELECT a.query_id, 'O' AS kind, a.term || ' ' || b.term AS unit {nxt}")
     if "U" in kinds and rule == "pairs":
-        for gap in (1, 2):
+        for gap in range(1, window):
             doc.append(
                 "SELECT a.doc_id, a.field, 'U' AS kind, least(a.term, b.term) || ' ' || greatest(a.term, b.term) AS unit "
                 f"FROM tok a {at} + {gap}"
@@ -90,7 +90,7 @@ def _units(kinds: str, rule: str = "pairs") -> str:
     if "U" in kinds and rule == "anchored":
         near = " UNION ALL ".join(
             f"SELECT a.doc_id, a.field, a.pos, a.term AS t1, b.term AS t2 FROM tok a {at} + ({gap})"
-            for gap in (-2, -1, 0, 1, 2)
+            for gap in range(1 - window, window)
         )
         doc.append(
             "SELECT doc_id, field, 'U' AS kind, t1 || ' ' || t2 AS unit "
@@ -105,8 +105,21 @@ def _units(kinds: str, rule: str = "pairs") -> str:
     cand AS (SELECT DISTINCT query_id, doc_id FROM qu JOIN du USING (kind, unit))"""
 
 
-def _scored(fields, kinds="T", rule="pairs", analyzer="index") -> str:
-    return "WITH" + _collection(fields, analyzer) + "," + _units(kinds, rule)
+STEM = """CASE WHEN regexp_matches(term, '[^ae]ies$') THEN regexp_replace(term, 'ies$', 'y')
+         WHEN regexp_matches(term, '[^aeo]es$') THEN regexp_replace(term, 's$', '')
+         WHEN regexp_matches(term, '[^us]s$') AND NOT regexp_matches(term, '(ies|es)$') THEN regexp_replace(term, 's$', '')
+         ELSE term END"""
+
+
+def _stemmed(collection: str) -> str:
+    """The collection with stems for terms in documents and queries."""
+    whole = collection.replace("tok AS (", "tok0 AS (", 1).replace("qt AS (", "qt0 AS (", 1)
+    whole = whole.replace("dl AS (", f"tok AS (SELECT doc_id, field, {STEM} AS term, pos FROM tok0), dl AS (", 1)
+    return whole + f", qt AS (SELECT query_id, {STEM} AS term, pos FROM qt0)"
+
+
+def _scored(fields, kinds="T", rule="pairs", analyzer="index", window=3) -> str:
+    return "WITH" + _collection(fields, analyzer) + "," + _units(kinds, rule, window)
 
 
 def _weights(weights, column="field") -> str:
@@ -222,9 +235,9 @@ VALUES = f"""
                           WHERE predicate = '{c.TYPE_PREDICATE}' AND object = '{catalog.PART}'))"""
 
 
-def _entity_collection() -> str:
+def _entity_collection(kept: str = "") -> str:
     every = " UNION ALL ".join(f"SELECT doc_id, '{f}' AS field FROM vals" for f in ENTITY_FIELDS)
-    return f"""WITH {TRIPLES}, {VALUES},
+    return f"""WITH {TRIPLES}, {VALUES.replace('vals AS', 'vals0 AS')}, vals AS (SELECT * FROM vals0 {kept}),
     numbered AS (SELECT *, row_number() OVER () AS v FROM vals),
     words AS ({_tokens('numbered', 'doc_id, field, v', 'text', 'english')}),
     tok AS (SELECT doc_id, field, term, pos FROM words
@@ -259,7 +272,7 @@ PRMS = f"""
 def _sentences(table: str, key: str) -> str:
     return rf"""SELECT DISTINCT {key}, trim(x) AS sentence
         FROM (SELECT {key}, unnest(regexp_split_to_array(text, '[.\n!?]+')) AS x FROM {table})
-        WHERE length(trim(x)) >= {c.MIN_SENTENCE}"""
+        WHERE trim(x) <> ''"""
 
 
 JUDGED = f"""
@@ -469,6 +482,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, doc_id, score FROM (
                 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC)::INTEGER AS rank FROM ({sql[scores]}))
             WHERE rank <= 10"""
+    listed = f"""WHERE doc_id IN (
+        SELECT '{c.RESOURCE}Part_' || p_partkey FROM part
+        WHERE p_brand IN (SELECT p_brand FROM part WHERE p_size = (SELECT max(p_size) FROM part)))"""
+    sql["candidate_index"] = f"""{_entity_collection(listed)}
+        SELECT field, unit AS term, doc_id, tf, dl FROM du JOIN dl USING (doc_id, field)"""
+    sql["bm25_grown_top"] = sql["bm25_top"]
+    sql["stemmed_postings"] = f"""WITH {_stemmed(_collection(tb))}, {postings} SELECT field, term, doc_id, tf, dl::INTEGER AS dl
+        FROM post JOIN dl USING (doc_id, field)"""
+    sql["stemmed_bm25"] = f"WITH {_stemmed(_collection(['body']))}, {_units('T')}, {BM25} {ROUND}"
+    sql["sdm_stored"] = " UNION ALL ".join(
+        f"""SELECT {window} AS near, '{rule}' AS rule, * FROM ({_scored(['body'], 'TOU', rule, window=window)}, {_mixture(_dirichlet({}), SDM_WEIGHT)},
+            {_top(10)} SELECT {ranked_columns} FROM top)"""
+        for window, rule in catalog.STORED_RULES
+    )
     # every document that is in the collection, matching or not, for every query with a known unit
     every = ("cand AS (SELECT DISTINCT query_id, doc_id FROM qu JOIN du USING (kind, unit))",
              "cand AS (SELECT query_id, doc_id FROM (SELECT DISTINCT query_id FROM qu JOIN du USING (kind, unit)) CROSS JOIN docs)")
