@@ -24,7 +24,7 @@ from termloom.operators.staging import stage
 
 UNIT = ["kind", "unit"]
 #: Entries of a partition of a stored index, about; a unit's hash picks its one.
-BUCKET_ENTRIES = 250_000
+BUCKET_ENTRIES, LEAST_BUCKETS = 250_000, 16
 
 
 # ---- units -----------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 """File readers and writers."""
 
+import random
 import json
 
 import pytest
@@ -98,3 +99,28 @@ def test_save_entities(spark, tmp_path):
         spark.createDataFrame(rows, "entity_id string, field string, pos long, value string"), str(tmp_path / "e")
     )
     assert [r.entity_id for r in spark.read.parquet(str(tmp_path / "e")).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [97, 1000, 100_000])
+def test_quoted_records_in_splits(spark, tmp_path, end, size):
+    """Line breaks, doubled quotes and blank lines in fields; the same rows whatever the splits, and as from one task."""
+    rng = random.Random(size)
+    texts = ["plain", 'say ""hi""', f"two{end}lines", f'{end}{end}""{end}', "", "tab\there", '""', f"long {'x ' * 90}{end}end"]
+    lines = ["Id\tLabel\tEmail"]
+    for i in range(200):
+        text = rng.choice(texts)
+        quoted = '"' + text + '"' if rng.random() < 0.5 or any(c in text for c in '"\n\t') else text
+        lines += [f"{i}\t{rng.choice(['ham', 'spam'])}\t{quoted}"] + [""] * (rng.random() < 0.1)
+    for name, rows in (("a", lines[:120]), ("b", [lines[0], *lines[120:]])):
+        (tmp_path / f"{name}.tsv").write_bytes((end.join(rows) + end).encode())
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        frame = readers.labelled_texts(spark, str(tmp_path))
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        got = sorted(map(tuple, frame.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert got == sorted(map(tuple, readers.labelled_texts(spark, str(tmp_path), strict=False).collect()))
+    assert len(got) == 200 and (tasks > 10 or size > 1000)
