@@ -123,4 +123,4 @@ def test_quoted_records_in_splits(spark, tmp_path, end, size):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
     assert got == sorted(map(tuple, readers.labelled_texts(spark, str(tmp_path), strict=False).collect()))
-    assert len(got) == 200 and (tasks > 10 or size > 1000)
+    assert len(got) == 200 and (tasks > 3 or size > 1000)
