@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from termloom.llm.blocks import pack_numbers, unpack_numbers
 from termloom.llm.common import give_back
 from termloom.operators.staging import stage
 
-BLOCK_BYTES = 10_000_000
+BLOCK_BYTES = 16_000_000
 #: Chunks that are encoded at once.
 TOGETHER = 200
 #: A single blank or line break between other characters starts a chunk.
@@ -82,8 +83,8 @@ class Tokenizers:
             splits.get("type") == "ByteLevel" and splits.get("use_regex", True) and self.first.normalizer is None
             and not any(re.search(f"[^{BLANK}]{BLANK}", p) or "\n" in p for p in pieces)
         )
-        self.text_a = [[f"{i}{end}" for end in ",|"] for i in range(len(self.bytes_a))]
-        self.text_b = [[f"{i}{end}" for end in ",;"] for i in range(len(self.bytes_b))]
+        # a token's text at twice its id, and the next place if it ends its side of a group; the second's after the first's
+        self.spelled = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for end in ends]
 
     def chunks(self, text: str) -> list[str]:
         """A text with a blank before it, cut where both tokenizers start anew."""
@@ -95,11 +96,11 @@ class Tokenizers:
         points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         at = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
         first = self.first.encode(text, add_special_tokens=False)
-        ids_a, spans_a = first.ids, np.array(first.offsets, dtype=np.int64).reshape(-1, 2)
+        ids_a, spans_a = first.ids, spans(first.offsets)
         # the model puts a blank before the text: it takes the place of the text's own, or goes if that is a line break
         own = text[1:] if text[0] == " " else text
         second = self.second.encode_as_offset_mapping(own)
-        ids_b, spans_b = second["ids"], np.array(second["offsets"], dtype=np.int64).reshape(-1, 2)
+        ids_b, spans_b = second["ids"], spans(second["offsets"])
         if text[0] == " ":
             spans_b = spans_b + 1
             spans_b[:1, 0] = 0
@@ -114,6 +115,16 @@ class Tokenizers:
         return ids_a, refine(at, spans_a, self.len_a[ids_a]), ids_b, refine(at, spans_b, self.len_b[ids_b])
 
 
+def spans(offsets: list[tuple[int, int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(offsets), dtype=np.int64, count=2 * len(offsets)).reshape(-1, 2)
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, each once; sorting is faster here than the hashing of `numpy.unique`."""
+    found = np.sort(numbers)
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
+
+
 def refine(at: np.ndarray, spans: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Byte ends of tokens from their spans in characters; `at` has the first byte of each character.
 
@@ -157,15 +168,14 @@ class Chunks:
             return
         ids_a, ends_a, ids_b, ends_b = found
         bounds = np.cumsum([len(c.encode()) for c in chunks])
-        every = np.union1d(ends_a, ends_b)
+        every = distinct(np.concatenate([ends_a, ends_b]))
         shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
         pairs = ids_a[np.searchsorted(ends_a, every)] << 32 | ids_b[np.searchsorted(ends_b, every)]
         group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
-        last_a, last_b = (shared[group_a] == ends_a).tolist(), (shared[group_b] == ends_b).tolist()
-        texts = [known.text_a[i][e] for i, e in zip(ids_a.tolist(), last_a)]
-        texts += [known.text_b[i][e] for i, e in zip(ids_b.tolist(), last_b)]
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable").tolist()
-        texts = [texts[i] for i in order]
+        places_a = 2 * ids_a + (shared[group_a] == ends_a)
+        places_b = 2 * (len(known.bytes_a) + ids_b) + (shared[group_b] == ends_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        texts = list(map(known.spelled.__getitem__, np.concatenate([places_a, places_b])[order].tolist()))
         upto = [np.searchsorted(e, bounds, side="right") for e in (ends_a, ends_b, shared, every)]
         a, b, groups, links = (np.diff(u, prepend=0).tolist() for u in upto)
         self.n_a += a
@@ -228,12 +238,14 @@ class Block:
         codes = np.fromiter((c for own in self.codes for c in own), dtype=np.int64, count=int(lens.sum()))
         doc = np.repeat(np.arange(len(lens)), lens)
         link_lens = np.array(found.n_links, dtype=np.int64)
-        pairs, links = np.unique(np.concatenate(found.links) if found.links else np.zeros(0, np.int64), return_inverse=True)
+        linked = np.concatenate(found.links) if found.links else np.zeros(0, np.int64)
+        pairs = distinct(linked)
+        links = np.searchsorted(pairs, linked)
         # a document counts a pair once, whichever of its chunks hold it
-        once = np.unique(doc * max(1, len(link_lens)) + codes)
+        once = distinct(doc * max(1, len(link_lens)) + codes)
         doc_of, code_of = np.divmod(once, max(1, len(link_lens)))
         held = links[spread(link_lens, code_of)] + np.repeat(doc_of, link_lens[code_of]) * max(1, len(pairs))
-        docs_with = np.bincount(np.unique(held) % max(1, len(pairs)), minlength=len(pairs))
+        docs_with = np.bincount(distinct(held) % max(1, len(pairs)), minlength=len(pairs))
         groups = []
         for own in self.codes:
             text = "".join([found.text[c] for c in own])[:-1]
