@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.operators import metrics
 from termloom.operators.index import UNIT, TextIndex
 from termloom.operators.joins import lookup_join
 from termloom.operators.scorers import PAIR, matches, search, unit_statistics
@@ -134,6 +137,39 @@ def rerank(model: Model, features: DataFrame) -> DataFrame:
     return scored.select("query_id", F.row_number().over(order).alias("rank"), "doc_id", "score")
 
 
+def regressors() -> dict[str, Estimator]:
+    """The regressors that are tried by default."""
+    return {
+        "linear": LinearRegression(regParam=1e-3),
+        "forest": RandomForestRegressor(numTrees=20, maxDepth=6, seed=42),
+    }
+
+
+def cross_validated(training: DataFrame, tried: Mapping[str, Estimator] | None = None, folds: int = 3) -> DataFrame:
+    """(regressor, query_id, value): each query's reciprocal rank when a model of the other folds ranks its pairs.
+
+    A fold is a set of whole queries, picked by a hash of their ids, so no query is ranked by
+    a model that saw one of its pairs. Queries without a relevant pair have the value 0.
+    """
+    training = stage(training.withColumn("fold", F.pmod(F.xxhash64("query_id"), F.lit(folds))), "folds")
+    truth, found = training.filter("label > 0").select(*PAIR), None
+    for name, regressor in (tried or regressors()).items():
+        for fold in range(folds):
+            model = fit(training.filter(F.col("fold") != fold), regressor)
+            ranked = rerank(model, training.filter(F.col("fold") == fold))
+            values = metrics.reciprocal_rank(ranked, truth).select(F.lit(name).alias("regressor"), "query_id", "value")
+            found = values if found is None else found.union(values)
+    return stage(found, "cross-validated")
+
+
+def best_regressor(training: DataFrame, tried: Mapping[str, Estimator] | None = None, folds: int = 3) -> tuple[str, Estimator]:
+    """The regressor with the highest cross-validated mean reciprocal rank, the first name of equal ones."""
+    tried = tried or regressors()
+    means = cross_validated(training, tried, folds).groupBy("regressor").agg(F.round(F.avg("value"), 6).alias("mrr"))
+    name = means.orderBy(F.desc("mrr"), "regressor").first()["regressor"]  # a row per regressor
+    return name, tried[name]
+
+
 def split_bucket(key: str) -> Column:
     """0 to 99 from the md5 of an id: pseudo-random, the same on any engine."""
     digest = F.md5(F.col(key).cast("string"))

@@ -119,3 +119,23 @@ def reciprocal_rank(rankings: DataFrame, truth: DataFrame) -> DataFrame:
 def mean_measure(rankings: DataFrame, truth: DataFrame, measure: Measure) -> DataFrame:
     """Mean of any measure over the ranked queries; a query without judgments scores 0."""
     return measure(rankings, truth).agg(F.avg("value").alias("mean"))
+
+
+def randomisation_test(before: DataFrame, after: DataFrame, rounds: int = 1000, seed: int = 7) -> DataFrame:
+    """One row (n, gain, p): the mean gain of paired values, and how likely it is without a difference.
+
+    `before` and `after` are (query_id, value); queries that both have count. In each round
+    every query's values change sides or stay, by a hash of query, round and seed; `p` is the
+    share of rounds, the real one included, whose mean differs from 0 as much as the real one.
+    """
+    paired = before.select("query_id", F.col("value").alias("b")).join(after.select("query_id", F.col("value").alias("a")), "query_id")
+    differences = paired.select("query_id", (F.col("a") - F.col("b")).alias("d"))
+    tried = differences.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds))))
+    coin = F.pmod(F.xxhash64(F.col("query_id"), F.col("round"), F.lit(seed)), F.lit(2)) == 0
+    means = tried.groupBy("round").agg(
+        F.count("*").alias("n"), F.avg(F.when((F.col("round") == 0) | coin, F.col("d")).otherwise(-F.col("d"))).alias("mean")
+    )
+    real = F.max(F.when(F.col("round") == 0, F.col("mean")))
+    summed = means.agg(F.max("n").alias("n"), real.alias("gain"), F.collect_list("mean").alias("means"))  # a number per round
+    as_far = F.size(F.filter("means", lambda m: F.abs(m) >= F.abs(F.col("gain")) - 1e-12))
+    return summed.select("n", "gain", (as_far / F.size("means")).alias("p"))

@@ -407,17 +407,32 @@ def id_split(spark, sf_dir):
     return ltr.id_split(c.queries(spark, sf_dir))
 
 
-def ltr_rerank(spark, sf_dir):
-    """Mean reciprocal rank on held-out queries, before and after re-ranking."""
+def _sides(spark, sf_dir):
+    """Index, units, judgments, and the units of the labelled and of the held-out queries."""
     idx, units = _ltr_index(spark, sf_dir)
-    truth = qrels_relevant(spark, sf_dir)
     split = ltr.id_split(c.queries(spark, sf_dir))
 
     def side(is_train, most=None):
         return units.join(ltr.side_ids(split, is_train, most), "query_id", "left_semi")
 
-    model = ltr.fit(ltr.training_data(idx, side(True, FITTED_QUERIES), truth))
-    retrieved = stage(ltr.first_pass(idx, side(False)), "pairs")
+    return idx, units, qrels_relevant(spark, sf_dir), side(True, FITTED_QUERIES), side(False)
+
+
+def first_pass_mrr(spark, sf_dir):
+    """Mean reciprocal rank of the first pass on held-out queries."""
+    idx, _, truth, _, held_out = _sides(spark, sf_dir)
+    return rounded(metrics.mean_measure(stage(ltr.first_pass(idx, held_out), "pairs"), truth, metrics.reciprocal_rank), "mean")
+
+
+def ltr_rerank(spark, sf_dir):
+    """Mean reciprocal rank on held-out queries, before and after re-ranking.
+
+    The regressor is picked by cross-validation over the labelled queries alone.
+    """
+    idx, units, truth, labelled, held_out = _sides(spark, sf_dir)
+    training = stage(ltr.training_data(idx, labelled, truth), "training")
+    model = ltr.fit(training, ltr.best_regressor(training)[1])
+    retrieved = stage(ltr.first_pass(idx, held_out), "pairs")
     features = ltr.feature_matrix(idx, units, retrieved)
     before = metrics.mean_measure(retrieved, truth, metrics.reciprocal_rank)
     after = metrics.mean_measure(ltr.rerank(model, features), truth, metrics.reciprocal_rank)
@@ -426,14 +441,31 @@ def ltr_rerank(spark, sf_dir):
     )
 
 
+def ltr_reranked(spark, sf_dir):
+    """Documents and last rank of every held-out query after re-ranking: all of the first pass, ranked without gaps."""
+    idx, units, truth, labelled, held_out = _sides(spark, sf_dir)
+    model = ltr.fit(ltr.training_data(idx, labelled, truth), ltr.regressors()["linear"])
+    features = ltr.feature_matrix(idx, units, stage(ltr.first_pass(idx, held_out), "pairs"))
+    ranked = ltr.rerank(model, features)
+    return ranked.groupBy("query_id").agg(F.count_distinct("doc_id").alias("documents"), F.max("rank").alias("last_rank"))
+
+
 def tfidf(spark, sf_dir):
     return rounded(textclf.tfidf(c.split_documents(spark, sf_dir)), "weight")
 
 
+def spam_cells(spark, sf_dir):
+    """What the classifier reads: class, side, number of non-zero features and their sum, of every labelled document."""
+    docs = c.labelled_documents(spark, sf_dir)
+    cells = textclf.tfidf(docs, ENGLISH).groupBy("doc_id").agg(F.count("*").alias("cells"), F.sum("weight").alias("total"))
+    every = docs.select("doc_id", "label", "is_train").join(cells, "doc_id", "left").fillna(0, ["cells", "total"])
+    return rounded(every, "total")
+
+
 def spam_eval(spark, sf_dir):
     docs = c.labelled_documents(spark, sf_dir)
-    model = textclf.train(docs.filter("is_train"))
-    return metrics.evaluate(textclf.predict(model, docs.filter("not is_train")))
+    model = textclf.train_exact(docs.filter("is_train"), ENGLISH)
+    return metrics.evaluate(textclf.predict_exact(model, docs.filter("not is_train")))
 
 
 def queries():
@@ -502,9 +534,12 @@ def queries():
         "ltr_pair_feats": ltr_pair_feats,
         "ltr_matrix": ltr_matrix,
         "ltr_training": ltr_training,
+        "first_pass_mrr": first_pass_mrr,
         "ltr_rerank": ltr_rerank,
+        "ltr_reranked": ltr_reranked,
         "id_split": id_split,
         "tfidf": tfidf,
+        "spam_cells": spam_cells,
         "spam_eval": spam_eval,
     }
     for name, kind in KIND.items():

@@ -482,6 +482,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, doc_id, score FROM (
                 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC)::INTEGER AS rank FROM ({sql[scores]}))
             WHERE rank <= 10"""
+    held_out = ID_BUCKET.format("query_id") + " >= 80"
+    sql["first_pass_mrr"] = f"""{_ltr()}, {FIRST_PASS}, {JUDGED}, {MEASURES}
+        SELECT round(avg(rr), 6) AS mean FROM per_query WHERE {held_out}"""
+    sql["ltr_reranked"] = f"""{_ltr()}, {FIRST_PASS}
+        SELECT query_id, count(*) AS documents, count(*)::INTEGER AS last_rank FROM top WHERE {held_out} GROUP BY query_id"""
+    without = rf"""array_to_string(list_filter(regexp_split_to_array({stripped}, '\s+'),
+        lambda w: w <> '' AND lower(w) NOT IN {_list(ENGLISH)}), ' ')"""
+    cells = sql["tfidf"].replace(stripped, without).replace("FROM documents),\n            tf AS", "FROM documents SEMI JOIN labels USING (doc_id)),\n            tf AS")
+    cells = cells.replace("FROM documents WHERE", "FROM documents SEMI JOIN labels USING (doc_id) WHERE").replace("round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6)", "raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))")
+    sql["spam_cells"] = f"""
+        SELECT doc_id, 1 - quality AS label, {ID_BUCKET.format('doc_id')} < 80 AS is_train, count(term) AS cells, round(coalesce(sum(weight), 0), 6) AS total
+        FROM documents JOIN labels USING (doc_id) LEFT JOIN ({cells}) USING (doc_id) GROUP BY ALL"""
     listed = f"""WHERE doc_id IN (
         SELECT '{c.RESOURCE}Part_' || p_partkey FROM part
         WHERE p_brand IN (SELECT p_brand FROM part WHERE p_size = (SELECT max(p_size) FROM part)))"""
