@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import line_dedup, mixing, ngram_join, toxicity
@@ -28,14 +28,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays.
+    """Of each group of near duplicates one row stays, of those with the smallest id.
 
-    Documents without an id, and without a text, stay: they are nobody's copy.
+    Rows are told by a 64-bit hash of id and text: rows that share an id and are in different
+    groups stay both, equal rows with words are one. Documents without words are nobody's
+    copy, and documents without an id always stay.
     """
-    found = ngram_join.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    copy = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", "source", "lang")
-    known = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").withColumn("near: copy", F.row_number().over(copy))
-    return known.filter(F.col("near: copy") == 1).select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("near: row"))
+    groups = ngram_join.near_duplicates(rows, "near: row").select(F.col("doc_id").alias("near: row"), "n_shingles", "component_id").distinct()
+    named = rows.filter("doc_id IS NOT NULL").select("near: row", "doc_id").distinct().join(groups, "near: row")
+    kept = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "near: row", "n_shingles")).alias("first"))
+    kept = kept.select(F.col("first")["near: row"].alias("near: row"), F.col("first")["n_shingles"].alias("near: size"))
+    known = rows.filter("doc_id IS NOT NULL").join(kept, "near: row")
+    worded, blank = known.filter(F.col("near: size") > 0).dropDuplicates(["near: row"]), known.filter(F.col("near: size") == 0)
+    return worded.select(*COLUMNS).union(blank.select(*COLUMNS)).union(rows.filter("doc_id IS NULL").select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
