@@ -23,10 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm.common import partitions
 from termloom.operators.staging import stage
 
 #: Bytes of records in a frame, and of frames in a bundle, about.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 32 << 20
+#: Copies of one row that are written from one row of the plan, at most.
+COPIES = 10_000
 LEVEL = 3
 
 # Fixed values of the formats.
@@ -45,8 +48,9 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, payload_digest: str, copy: int) -> str:
-    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{payload_digest}:{copy}')}"
+def record_id(page_id: int | None, payload_digest: str, url: str | None, copy: int) -> str:
+    """Rows that are equal in all but their number among equal ones have different ids too."""
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{payload_digest}:{copy}:{url!r}')}"
 
 
 def record(fields: dict[str, str], block: bytes) -> bytes:
@@ -144,23 +148,37 @@ def _write_file(folder: str, name: str, data: bytes) -> None:
     store.move(part, f"{base}/{name}")
 
 
-def with_originals(pages: DataFrame, least_bytes: int, id_col: str, url_col: str, payload_col: str) -> DataFrame:
-    """(page_id, url, payload, shared, original): `original` is the smallest id of the rows with an equal payload.
+def planned_records(pages: DataFrame, least_bytes: int, id_col: str, url_col: str, payload_col: str) -> DataFrame:
+    """(page_id, url, sha1, payload, first_page, first_url, low, high): the records to write, a row for the copies `low` to `high` - 1.
 
-    `shared` says that there are such rows, of at least `least_bytes` bytes. Equal payloads
-    are told by SHA-1 and size, as the record format does. Groups are found on digests; the
-    payloads move once, by id and digest, so a payload of a third of all rows is spread.
+    Rows that are equal in id, url and payload are counted on digests and numbered from there,
+    so no row's record depends on which task it comes to. Equal payloads are told by SHA-1 and
+    size, as the record format does. Revisits are made of digests; a payload moves once for
+    each distinct row, so one that a third of all rows have is spread, and is written once.
     """
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "utf-8")
     marked = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")).withColumns(
         {"sha1": F.unhex(F.sha1("payload")), "bytes": F.octet_length("payload").cast("long")})
-    rows = stage(marked.groupBy("sha1", "bytes", "page_id").agg(F.count("*").alias("rows")), "digests")
-    groups = rows.groupBy("sha1", "bytes").agg(F.min("page_id").alias("original"), F.sum("rows").alias("of"))
-    several = stage(groups.filter((F.col("of") > 1) & (F.col("bytes") >= least_bytes)).drop("of"), "payloads")
-    known = stage(rows.join(several, ["sha1", "bytes"]).select(
-        F.col("page_id").alias("own"), F.col("sha1").alias("own_sha1"), "original", F.lit(True).alias("shared")), "originals")
-    same = F.col("page_id").eqNullSafe(F.col("own")) & (F.col("sha1") == F.col("own_sha1"))
-    return marked.join(known.hint("merge"), same, "left").select("page_id", "url", "payload", F.coalesce("shared", F.lit(False)).alias("shared"), "original")
+    told = F.sha1(F.to_json(F.struct("page_id", "url", F.hex("sha1").alias("sha1"), "bytes")))
+    marked = marked.withColumn("row", told)
+    rows = stage(marked.groupBy("row", "sha1", "bytes", "page_id", "url").agg(F.count("*").alias("copies")), "digests")
+    smallest = F.min(F.struct(F.isnull("page_id").alias("n"), "page_id", F.isnull("url").alias("u"), "url", "row"))
+    groups = rows.groupBy("sha1", "bytes").agg(smallest.alias("first"), F.sum("copies").alias("of"))
+    several = groups.filter((F.col("of") > 1) & (F.col("bytes") >= least_bytes)).select(
+        "sha1", "bytes", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_page"), F.col("first.url").alias("first_url"))
+    known = stage(rows.join(several, ["sha1", "bytes"], "left"), "originals")
+    shared, is_first = F.col("first_row").isNotNull(), F.col("row") == F.col("first_row")
+    whole = known.filter(~shared | is_first).select("row", F.when(shared, 1).otherwise(F.col("copies")).alias("high"))
+    # each row once, by its key, and met by that key: whatever a join splits, a row's copies are numbered already
+    responses = marked.drop("bytes").dropDuplicates(["row"]).join(whole.hint("merge"), "row").select(
+        "page_id", "url", "sha1", "payload", F.lit(None).cast("long").alias("first_page"), F.lit(None).cast("string").alias("first_url"),
+        F.lit(0).cast("long").alias("low"), "high")
+    start = F.when(is_first, 1).otherwise(0).cast("long")
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))
+    revisits = known.filter(shared & (F.col("copies") > start)).withColumn("step", F.explode(steps)).repartition(partitions(pages.sparkSession)).select(
+        "page_id", "url", "sha1", F.lit(None).cast("binary").alias("payload"), "first_page", "first_url",
+        F.greatest(start, F.col("step") * COPIES).alias("low"), F.least("copies", (F.col("step") + 1) * COPIES).alias("high"))
+    return responses.union(revisits.withColumn("high", F.col("high").cast("long")))
 
 
 def write_bundles(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
@@ -171,13 +189,12 @@ def write_bundles(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: s
     response with the payload, the others are revisits of it. Defined cases: a null payload
     is empty; a null url or id leaves its field out of the record, and of rows without an id
     the response is one that has one, if any; rows with the same id and payload are records
-    of their own, one of them the response; an empty table gives no bundle and an empty
+    of their own, with their own ids, one of them the response (that with the smallest url); an empty table gives no bundle and an empty
     index; further columns are ignored.
     """
 
     def bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, number, bundle, index = TaskContext.get().partitionId(), 0, Bundle(), []
-        copies: dict[tuple, int] = {}
 
         def finish() -> pd.DataFrame:
             name = f"bundle-{task:06d}-{number:05d}.warc.zst"
@@ -186,24 +203,22 @@ def write_bundles(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: s
             return rows.assign(page_id=rows["page_id"].astype("Int64"), bundle=name)[["record_id", "page_id", "bundle", "frame", "offset", "length"]]
 
         for batch in batches:
-            for page, url, payload, shared, original in zip(*(batch[c] for c in batch.columns)):
-                page, original = (None if pd.isna(i) else int(i) for i in (page, original))
-                payload, name = bytes(payload), digest(payload)
-                copy = 0
-                if shared:  # rows with the same id and payload come to one task
-                    copy = copies.get((page, name), 0)
-                    copies[page, name] = copy + 1
-                own = record_id(page, name, copy)
-                first = not shared or (page == original and copy == 0)
-                data = page_record(page, None if pd.isna(url) else url, payload, name, own, None if first else record_id(original, name, 0))
-                index.append((own, page, *bundle.add(data), len(data)))
-                if bundle.total >= BUNDLE_BYTES:
-                    yield finish()
-                    number, bundle, index = number + 1, Bundle(), []
+            for page, url, sha1, payload, first_page, first_url, low, high in zip(*(batch[c].array for c in batch.columns)):
+                page, first_page = (None if pd.isna(i) else int(i) for i in (page, first_page))
+                url, first_url = (None if pd.isna(u) else u for u in (url, first_url))
+                name = base64.b32encode(sha1).decode()
+                refers = record_id(first_page, name, first_url, 0) if payload is None else None
+                for copy in range(low, high):
+                    own = record_id(page, name, url, copy)
+                    data = page_record(page, url, b"" if payload is None else bytes(payload), name, own, refers)
+                    index.append((own, page, *bundle.add(data), len(data)))
+                    if bundle.total >= BUNDLE_BYTES:
+                        yield finish()
+                        number, bundle, index = number + 1, Bundle(), []
         if index:
             yield finish()
 
-    rows = with_originals(pages, least_bytes, id_col, url_col, payload_col)
+    rows = planned_records(pages, least_bytes, id_col, url_col, payload_col)
     rows.mapInPandas(bundles, INDEX_SCHEMA).write.parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(INDEX_SCHEMA).parquet(f"{folder}/index")
 
@@ -239,7 +254,8 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
 def lookup(wanted: DataFrame, folder: str) -> DataFrame:
     """The records with the ids of `wanted(record_id)`, by reading only the frames they lie in.
 
-    Each frame is read once, by offset, whatever the bundle's size.
+    Each frame is read once, by offset, whatever the bundle's size. Ids that no record has,
+    and nulls, give no row; an id that is asked for twice gives one.
     """
     spark = wanted.sparkSession
     index = spark.read.schema(INDEX_SCHEMA).parquet(f"{folder}/index")

@@ -15,8 +15,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from termloom.llm import catalog, decontaminate, resample, token_alignment
+import corpus_pipeline
+from termloom.llm import catalog, decontaminate, resample, token_alignment, warc
 from termloom.llm.common import folded_runs
+from termloom.operators.staging import new_path
 
 from .conftest import CLASHING
 
@@ -295,3 +297,53 @@ def test_spans_with_refined_cuts_are_byte_ends(libraries, text):
         assert found is None
     else:
         assert [x.tolist() for x in found] == [x for side in expected for x in side]
+
+
+# ---- archives of repeated rows, and near copies by row ----------------------------------
+
+def test_archives_of_repeated_rows_when_joins_are_split(spark):
+    """Equal rows are records of their own with ids of their own, one of them the response, however Spark deals them out."""
+    payload = "p" * 200_000
+    rows = [(7, None, payload)] * 25 + [(7, "http://a", payload)] * 15 + [(i, "u", f"page {i}") for i in range(300)]
+    rows += [(None, None, "same")] * 5 + [(None, "u", None)] * 3
+    split = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    usual = {k: spark.conf.get(k) for k in split}
+    folder = new_path(spark, "warc")
+    try:
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16)
+        index = warc.write_bundles(pages, folder)
+        found = warc.page_digests(spark, folder).collect()
+        assert warc.lookup(index, folder).count() == len(rows)
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    types = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in found)
+    assert types[7, 200_000, "response", None] == 1 and types[7, 200_000, "revisit", 7] == 39
+    assert types[None, 4, "response", None] == 1 and types[None, 4, "revisit", None] == 4
+    assert sum(types.values()) == len(rows) and sum(n for t, n in types.items() if t[2] == "response") == 303
+    assert index.select("record_id").distinct().count() == len(rows)
+
+
+def test_small_equal_payloads_are_all_responses(spark):
+    pages = spark.createDataFrame([(1, "u", "x")] * 3 + [(2, "v", "x"), (3, None, "long payload"), (3, None, "long payload")], "page_id long, url string, html string")
+    folder = new_path(spark, "warc")
+    index = warc.write_bundles(pages, folder, 5)
+    found = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.page_digests(spark, folder).collect())
+    assert found == {(1, "response", None): 3, (2, "response", None): 1, (3, "response", None): 1, (3, "revisit", 3): 1}
+    assert index.select("record_id").distinct().count() == 6
+
+
+def test_near_copies_of_rows_that_share_an_id(spark, tmp_path):
+    """Clean documents with one id and different texts both stay; of each group one row does."""
+    words = [f"w{i}" for i in range(80)]
+    one, two, three = " ".join(words[:30]), " ".join(words[30:60]), " ".join(words[50:80])
+    rows = [(5, one), (5, two), (9, one), (2, two), (2, two), (7, three), (None, three), (8, None), (8, None), (8, "")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(path)
+    kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(path), "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == {(5, one): 1, (2, two): 1, (7, three): 1, (None, three): 1, (8, None): 2, (8, ""): 1}
