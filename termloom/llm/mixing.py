@@ -14,7 +14,6 @@ are joined to the slots by source and number.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +28,9 @@ from termloom.operators.staging import stage
 BLOCK_WORDS, SHARD_BLOCKS, SEED = 256, 1024, 20
 #: Above so many slots a node of the tree is split in proportion; the draw would change nothing visible.
 DRAWN = 500_000_000
-FINDER = re.compile(WORD)
+#: A word and the blanks after it.
+BLANKS = " \t\n\x0b\x0c\r"
+SPACED = WORD + r"[\x20\x09-\x0D]*"
 
 
 @dataclass(frozen=True)
@@ -307,28 +308,26 @@ def mixed_texts(docs: DataFrame, weights: Sequence[float], factor: float, most:
     numbered = kept.filter("size > 0").join(known, kept["source"].eqNullSafe(known["source"])).select(
         "row", "doc_id", "text", "size", F.xxhash64("text").alias("text_hash"), "number")
 
-    @F.pandas_udf("array<struct<block:long,low:int,high:int,text:string>>")
-    def cut(texts: pd.Series, starts: pd.Series) -> pd.Series:
-        out = []
-        for text, start in zip(texts, starts):
-            spans = [m.span() for m in FINDER.finditer(text)]
-            parts, at = [], 0
-            while at < len(spans):
-                block, low = divmod(int(start) + at, block_words)
-                end = min(len(spans), at + block_words - low)
-                parts.append({"block": block, "low": low, "high": low + end - at, "text": text[spans[at][0] : spans[end - 1][1]]})
-                at = end
-            out.append(parts)
-        return pd.Series(out)
-
-    @F.pandas_udf("string")
-    def shortened(texts: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([t[: [m.end() for m in FINDER.finditer(t)][n - 1]] for t, n in zip(texts, words)], dtype=object)
-
-    parts = placed(numbered, sources).select("row", "number", F.explode(cut("text", "start")).alias("part")).select("row", "number", "part.*")
+    # words with the blanks after them, found once per text and bound to a name, so that no part of a text looks for them again
+    first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
+
+    def part(words: Column, block: Column) -> Column:
+        low = F.greatest(F.col("start") - block * block_words, F.lit(0)).cast("int")
+        high = F.least(F.col("start") + F.col("size") - block * block_words, F.lit(block_words)).cast("int")
+        place = (block * block_words + low - F.col("start") + 1).cast("int")
+        return F.struct(block.alias("block"), low.alias("low"), high.alias("high"), joined_words(F.slice(words, place, high - low)).alias("text"))
+
+    words = F.regexp_extract_all("text", F.lit(SPACED), F.lit(0))
+
+    def joined_words(found: Column) -> Column:
+        return F.rtrim(F.array_join(found, ""), F.lit(BLANKS))
+
+    cut = F.transform(F.array(words), lambda w: F.transform(F.sequence(first, last), lambda b: part(w, b)))
+    parts = placed(numbered, sources).select("row", "number", F.explode(cut[0]).alias("part")).select("row", "number", "part.*")
     drawn = slots(spark, sources)
     room = F.least("words", F.col("high")) - F.col("low")
     joined = parts.join(drawn.hint("merge"), ["number", "block"]).withColumn("room", room).filter("room > 0")
-    whole = F.when(F.col("room") == F.col("high") - F.col("low"), F.col("text")).otherwise(shortened("text", "room"))
+    shortened = joined_words(F.slice(words, F.lit(1), F.col("room").cast("int")))
+    whole = F.when(F.col("room") == F.col("high") - F.col("low"), F.col("text")).otherwise(shortened)
     names = [F.col("taken_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in own]
     return joined.withColumn("taken_text", whole).select(*names, "shard", "slot", "low")
