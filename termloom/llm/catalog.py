@@ -207,7 +207,7 @@ counted AS (
 ), totals AS (SELECT coalesce(source, '') AS host, count(*) AS pages_of_host FROM documents GROUP BY ALL),
 bad AS (
   SELECT host, bare FROM counted JOIN totals USING (host)
-  WHERE pages_with >= 5 AND pages_of_host >= 5 AND pages_with > 0.1 * pages_of_host
+  WHERE pages_with >= 5 AND pages_of_host >= 5 AND pages_with > 0.01 * pages_of_host
 ), cleaned AS (
   SELECT doc_id, count(*) AS n_lines, count(bad.bare) AS n_dropped,
          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (bad.bare IS NULL), '') AS text

@@ -13,7 +13,7 @@ from termloom.llm.common import LOWER, UPPER
 from termloom.operators.joins import fits_broadcast
 from termloom.operators.staging import stage
 
-MAX_RATIO = 0.1
+MAX_RATIO = 0.01
 MIN_PAGES = 5
 
 

@@ -66,7 +66,7 @@ def test_lines(stages):
     pages, having = Counter(r["source"] or "" for r in before), Counter()
     for r in before:
         having.update((r["source"] or "", line.strip(" ")) for line in {x.strip(" ") for x in (r["text"] or "").split("\n")} - {""})
-    bad = {k for k, n in having.items() if n >= 5 and n > 0.1 * pages[k[0]]}
+    bad = {k for k, n in having.items() if n >= 5 and n > 0.01 * pages[k[0]]}
     assert bad
 
     def cleaned(r):
