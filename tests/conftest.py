@@ -52,6 +52,7 @@ def term_queries(spark):
     return make
 
 
+# The toy collections that the golden values belong to.
 SINGLE = {
     "d1": {"body": "t3 t3 t3 t6 t6"},
     "d2": {"body": "t1 t2 t3 t3 t6"},

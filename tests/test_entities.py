@@ -133,6 +133,7 @@ def test_search_and_collection_lm(found):
 
 
 def test_term_mapping_goldens(spark):
+    # Known probabilities of the mapping.
     p = {
         "names": (1 / 9, 2 / 9), "types": (0.0, 0.0), "description": (4 / 10, 1 / 5),
         "attributes": (0.0, 0.0), "related_entities": (1 / 2, 1 / 8), "catch_all": (3 / 14, 4 / 14),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from termloom.operators import ltr, metrics, textclf
 from termloom.operators.index import build_index, query_units
 
+# Toy documents and queries with known features.
 DOCS = {
     "d1": {"title": "t3 t6", "body": "t3 t3 t3 t6 t6"},
     "d2": {"title": "t1 t3", "body": "t1 t2 t3 t3 t6"},

@@ -12,6 +12,7 @@ from termloom.operators.joins import top_k
 
 THREE = ["title", "body", "anchors"]
 MIX = {"title": 0.1, "body": 0.7, "anchors": 0.2}
+# The toy queries that the golden values belong to.
 TEXTS = [
     "t7 t3 t3", "t3", "t2 t1", "t6", "t3 t1 t3 t2", "t6 t2", "t5 t1", "t3 t5 t2", "t9", "t2 t4",
     "t2 t5 t4 t5", "t4", "t1 t2 t4", "t4 t1 t3", "t4 t3", "t2 t1 t3", "t1 t3 t3", "t2 t4 t4",
@@ -97,6 +98,7 @@ def test_mixture_lm(indexed, every):
     assert best(got, "t1 t2 t4") == "d1"
 
 
+# Golden scores of the dependence models on the toy collections.
 SDM_GOLDEN = {
     ("T", "pairs"): {("t7 t3 t3", "d1"): -1.9622, ("t7 t3 t3", "d2"): -2.0137},
     ("O", "pairs"): {("t7 t3 t3", "d1"): -1.6492, ("t6 t2", "d4"): 0.0},
