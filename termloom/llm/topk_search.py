@@ -101,7 +101,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     Defined cases: vectors that are null, empty or hold a null or non-finite component take
     no part, nor do rows without an id; vectors of other lengths than a query's are not
     scored with it; of rows with the same id all are candidates, but none for a query of that
-    id; a query with fewer than k candidates gets all; an empty table gives no row; further
+    id, and of query rows with the same id the one with the smallest vector, compared number by number, asks; a query with fewer than k candidates gets all; an empty table gives no row; further
     columns are ignored.
     """
     rows = stage(vectors.filter(F.col(id_col).isNotNull()).select(
@@ -135,7 +135,7 @@ def _query_blocks(queries: DataFrame, count: int) -> Iterator[pd.DataFrame]:
         part = queries
         part = part if low is None else part.filter(F.col("id") >= low)
         part = part if high is None else part.filter(F.col("id") < high)
-        yield part.dropDuplicates(["id"]).toPandas()
+        yield part.groupBy("id").agg(F.min("vector").alias("vector")).toPandas()
 
 
 def _search_block(rows: DataFrame, asked: pd.DataFrame, k: int, longest: float) -> DataFrame:

@@ -13,10 +13,11 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from termloom.llm import catalog, decontaminate, resample, token_alignment, warc
+from termloom.llm import catalog, decontaminate, resample, token_alignment, topk_search, warc
 from termloom.llm.common import folded_runs
 from termloom.operators.staging import new_path
 
@@ -347,3 +348,11 @@ def test_near_copies_of_rows_that_share_an_id(spark, tmp_path):
     spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(path)
     kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(path), "").collect()
     assert Counter((r.doc_id, r.text) for r in kept) == {(5, one): 1, (2, two): 1, (7, three): 1, (None, three): 1, (8, None): 2, (8, ""): 1}
+
+
+def test_of_query_rows_with_one_id_the_smallest_vector_asks(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for part in (1, 3):
+        found = topk_search.search(vectors.repartition(part), F.col("vec_id") % 50 == 0, 1).collect()
+        assert [(r.query_id, r.vec_id, r.score) for r in found] == [(50, 2, 256 * 128)]
