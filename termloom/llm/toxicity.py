@@ -43,8 +43,11 @@ COVER, SAME = 3, 0.6
 #: Least share of a landmark's letters that a word must have in their order, whatever lies
 #: between them, for a kernel value other than 0.
 SHARED = 0.7
-#: Words of up to `PIECE` letters are compared whole, longer ones in pieces of twice as many, which overlap by half.
+#: Words of up to `PIECE` letters, with their start, are compared whole, longer ones in pieces of twice as many, which overlap
+#: by half: an insult that spans up to `PIECE` letters is whole in a piece, a longer one may be cut.
 PIECE = 16
+#: Words are compared with others of up to the same of these lengths, so that short ones are not filled up.
+WIDTHS = (6, 8, 10, 12, PIECE)
 #: Words whose kernel values a task remembers.
 REMEMBERED = 300_000
 #: Texts whose words are compared together, and words near a landmark that are.
@@ -77,22 +80,40 @@ def _codes(strings: list[str], width: int) -> np.ndarray:
 
 
 def kernel(left: np.ndarray, right: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """Subsequence kernel of the rows of two equally long code tables, row by row."""
-    rows, length = right.shape
-    right = np.ascontiguousarray(right.T)
-    hits = [np.where((left[:, i] == right) & (right > 0), decay**2, 0) for i in range(left.shape[1])]
-    # prefix[i][j]: value of the shorter subsequences of the left string's first i and the right one's first j letters
-    prefix = [np.ones((length + 1, rows))] * (left.shape[1] + 1)
+    """Subsequence kernel of the rows of two code tables, row by row; `left` may have one row for all.
+
+    What ends in a pair of equal letters is the sum of what ends before it in both strings,
+    decayed by the distance. Divided by the decay up to its place, that is a running sum over
+    both strings, so a further letter costs a product and two running sums.
+    """
+    right = np.ascontiguousarray(right.T)[:, None]
+    hits = ((right == left.T[None]) & (right > 0)).astype(np.float64)
+    decayed = decay ** (np.arange(hits.shape[0])[:, None, None] + np.arange(hits.shape[1])[None, :, None])
+    sums = hits / decayed
     for _ in range(1, order):
-        longer = [np.zeros((length + 1, rows))]
-        for i, hit in enumerate(hits):
-            ending = np.zeros((length + 1, rows))
-            np.multiply(hit, prefix[i][:-1], out=ending[1:])
-            for j in range(1, length):
-                ending[j + 1] += decay * ending[j]
-            longer.append(decay * longer[-1] + ending)
-        prefix = longer
-    return sum((hit * prefix[i][:-1]).sum(axis=0) for i, hit in enumerate(hits))
+        for j in range(1, hits.shape[0]):
+            sums[j] += sums[j - 1]
+        for i in range(1, hits.shape[1]):
+            sums[:, i] += sums[:, i - 1]
+        longer = np.zeros_like(hits)
+        np.multiply(hits[1:, 1:], sums[:-1, :-1], out=longer[1:, 1:])
+        sums = longer
+    return decay**2 * (sums * decayed).sum(axis=(0, 1))
+
+
+def whole_kernel(name: np.ndarray, words: np.ndarray, decay: float = WHOLE_DECAY) -> np.ndarray:
+    """The kernel by subsequences of all letters of `name`, in terms of its own value, for each row of a code table.
+
+    Such a subsequence takes the letters one after the other, so one running sum a letter does.
+    """
+    words = np.ascontiguousarray(words.T)
+    decayed = decay ** np.arange(len(words))[:, None]
+    sums = (words == name[0]) / decayed
+    for letter in name[1:]:
+        before = np.cumsum(sums[:-1], axis=0)
+        sums = np.zeros_like(sums)
+        np.multiply(words[1:] == letter, before, out=sums[1:])
+    return decay ** (1 - len(name)) * (sums * decayed).sum(axis=0)
 
 
 @dataclass
@@ -109,17 +130,28 @@ class Landmarks:
         letters = sorted(set("".join(self.names)))
         self.number = np.zeros(0x110000, dtype=np.uint8 if len(letters) < 256 else np.uint32)
         self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        self.places = np.zeros((len(self.names), len(letters) + 1), dtype=np.uint16 if self.width < 16 else np.uint64)
+        # a 64-bit number holds several landmarks one after the other, a bit per letter and a free one behind each
+        self.groups: list[list[int]] = []
+        self.places: list[np.ndarray] = []
+        at = 64
         for j, name in enumerate(self.names):
+            if at + len(name) >= 64:
+                at = 0
+                self.groups.append([])
+                self.places.append(np.zeros(len(letters) + 1, dtype=np.uint64))
             for i, c in enumerate(name):
-                self.places[j, self.number[ord(c)]] |= self.places.dtype.type(1 << i)
+                self.places[-1][self.number[ord(c)]] |= np.uint64(1 << at + i)
+            self.groups[-1].append(j)
+            at += len(name) + 1
 
     def values(self, words: list[str]) -> np.ndarray:
         """Kernel values, in terms of the landmark's own one and at most 1, the better of the two orders: a row per word."""
         out = np.zeros((len(words), len(self.names)), dtype=np.float32)
         marked = [START + w for w in words]
-        short = np.array([k for k, w in enumerate(marked) if len(w) <= PIECE], dtype=np.int64)
-        self._compare(out, [marked[k] for k in short], short, PIECE)
+        lengths = np.array([len(w) for w in marked], dtype=np.int64)
+        for low, high in zip((0, *WIDTHS), WIDTHS):
+            some = np.flatnonzero((lengths > low) & (lengths <= high))
+            self._compare(out, [marked[k] for k in some], some, high)
         pieces, owner = [], []
         for k, word in enumerate(marked):
             if len(word) > PIECE:
@@ -133,29 +165,38 @@ class Landmarks:
         if not pieces:
             return
         codes = _codes(pieces, width)
-        numbers = self.number[codes.T]
-        for j, name in enumerate(self.names):
-            shared, code = _in_order(numbers, self.places[j], len(name)), self.codes[j : j + 1, : len(name)]
-            near = np.flatnonzero(shared >= SHARED * len(name))
-            for at in range(0, len(near), TOGETHER):
-                some = near[at : at + TOGETHER]
-                found = kernel(np.repeat(code, len(some), axis=0), codes[some])
-                np.maximum.at(out[:, j], owner[some], np.minimum(found / self.own[j], 1) ** POWER)
-            whole = np.flatnonzero(shared == len(name))
-            for at in range(0, len(whole), TOGETHER):
-                some = whole[at : at + TOGETHER]
-                found = kernel(np.repeat(code, len(some), axis=0), codes[some], len(name), WHOLE_DECAY)
-                np.maximum.at(out[:, j], owner[some], np.minimum(found / WHOLE_DECAY ** (2 * len(name)), 1))
-
-
-def _in_order(numbers: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """Length of the longest common subsequence of each column of letter numbers and one landmark, a bit per letter of it."""
-    whole = places.dtype.type((1 << length) - 1)
-    missing = np.full(numbers.shape[1], whole)
+        numbers = self.number[codes.T].astype(np.intp)
+        for group, places in zip(self.groups, self.places):
+            for j, shared in zip(group, _in_order(numbers, places, *[len(self.names[j]) for j in group])):
+                length = len(self.names[j])
+                code = self.codes[j : j + 1, :length]
+                near = np.flatnonzero(shared >= SHARED * length)
+                for first in range(0, len(near), TOGETHER):
+                    some = near[first : first + TOGETHER]
+                    found = kernel(code, codes[some])
+                    np.maximum.at(out[:, j], owner[some], np.minimum(found / self.own[j], 1) ** POWER)
+                some = near[shared[near] == length]
+                if len(some):
+                    np.maximum.at(out[:, j], owner[some], np.minimum(whole_kernel(code[0], codes[some]), 1))
+
+
+def _in_order(numbers: np.ndarray, places: np.ndarray, *lengths: int) -> np.ndarray:
+    """Lengths of the longest common subsequences of each column of letter numbers and the landmarks of a group: a row per landmark.
+
+    All landmarks go through the letters at once. A carry out of one's bits goes to the free bit behind them, which is cleared.
+    """
+    starts = np.cumsum([0, *[n + 1 for n in lengths]]).tolist()
+    masks = [np.uint64((1 << n) - 1 << at) for n, at in zip(lengths, starts)]
+    used = np.bitwise_or.reduce(masks)
+    missing = np.full(numbers.shape[1], used)
     for row in numbers:
-        hit = missing & places[row]
-        missing = (missing + hit) | (missing - hit)
-    return length - np.bitwise_count(missing & whole)
+        hit = places.take(row)
+        hit &= missing
+        moved = missing + hit
+        missing -= hit
+        missing |= moved
+        missing &= used
+    return np.array([n - np.bitwise_count(missing & mask) for n, mask in zip(lengths, masks)])
 
 
 class Features:
@@ -205,7 +246,11 @@ class Model:
 
 
 def sample(labels: DataFrame, usable: Column, id_col: str, label_col: str, limit: int = LABELLED) -> DataFrame:
-    """(id, label) of at most `limit` usable labelled rows, those with the smallest hashes of their ids."""
+    """(id, label) of at most `limit` usable labelled rows, those with the smallest hashes of their ids.
+
+    An id that is labelled more than once counts once, as toxic if any of its rows says so;
+    rows without an id or with a label other than 0 and 1 are left out.
+    """
     return (
         labels.filter(usable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(id_col).agg(F.max(label_col).alias(label_col))
@@ -319,8 +364,9 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     """Train on the texts of `labelled(id, label)`, which `sample` bounds to `LABELLED` rows.
 
     That bound also makes its broadcast and the table of kernel values (a row of
-    `landmarks` numbers per labelled text) that comes to the driver safe. Without texts of
-    both classes the model gives every text the share of toxic ones.
+    `landmarks` numbers per labelled text) that comes to the driver safe. Null texts
+    are learned as texts without words, an id of several rows of `docs` by each of them.
+    Without texts of both classes the model gives every text the share of toxic ones.
     """
     labelled = labelled.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(labelled), "id")
@@ -369,8 +415,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     """All columns of `docs` and the score of its whole text.
 
     Defined cases: null and empty texts get the score of a text without any word; a text's
-    length does not matter but by its words; rows with the same text get the same score; a
-    column of `docs` named `out` is replaced.
+    length does not matter but by its words; a word of more than twice `PIECE` letters counts
+    by its pieces; rows with the same text get the same score; a column of `docs` named `out`
+    is replaced.
     """
     landmarks = Landmarks(model.landmarks)
 

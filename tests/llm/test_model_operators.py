@@ -249,6 +249,18 @@ def test_whole_landmarks(pair):
         assert value == pytest.approx(toxicity.WHOLE_DECAY**between, abs=1e-6)
 
 
+def test_landmarks_of_a_group_do_not_touch():
+    rng = random.Random(4)
+    names = list(dict.fromkeys("".join(rng.choice("^abcd") for _ in range(rng.randrange(3, 12))) for _ in range(40)))
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 50))) for _ in range(200)]
+    together = toxicity.Landmarks(names)
+    assert 1 < len(together.groups) < len(names)
+    alone = np.hstack([toxicity.Landmarks([n]).values(words) for n in names])
+    assert (together.values(words) == alone).all() and alone.any()
+    whole = toxicity.whole_kernel(toxicity._codes(["abc"], 3)[0], toxicity._codes(["xaxbbxc", "acb"], 9), 0.9)
+    assert whole == pytest.approx([brute_kernel("abc", w, 3, 0.9) / 0.9**6 for w in ("xaxbbxc", "acb")])
+
+
 def test_one_class_gives_its_share(spark, make_docs):
     docs = make_docs([(1, "a b", None), (2, None, None)])
     labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
