@@ -32,6 +32,12 @@ SPREAD = 1.6
 #: Stands for the id of rows without one, which come after all others.
 LAST = np.iinfo(np.int64).max
 PART_BITS = 22
+#: A block has fewer words than 2 to the power of this: a text has less than 2 GB, and a block closes when it has ten megabytes.
+PLACE_BITS = 31
+#: Places that go down the levels of a wavelet matrix together.
+TOGETHER = 8192
+#: The bits below each of the 64 of a number.
+BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
 
 def split_words(text: str) -> list[bytes]:
@@ -66,21 +72,35 @@ class WaveletMatrix:
             self.bits.append(words)
             self.before.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)]))
             self.zeros.append(int(len(bit) - bit.sum()))
-            starts = self._down(len(self.bits) - 1, starts, (names >> level) & 1)
+            starts = self._down(len(self.bits) - 1, starts, -((names >> level) & 1))
             sequence = np.concatenate([sequence[bit == 0], sequence[bit == 1]])
         self.starts = starts
 
-    def _down(self, step: int, place: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    def _down(self, step: int, place: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Places a level further down; `one` has all bits set where the symbol's bit is, and none elsewhere."""
         word = place >> 6
-        mask = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-        ones = self.before[step][word] + np.bitwise_count(self.bits[step][word] & mask)
-        return np.where(bit == 1, self.zeros[step] + ones, place - ones)
-
-    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How often each symbol occurs before each place."""
-        for step in range(self.levels):
-            place = self._down(step, place, (symbol >> (self.levels - 1 - step)) & 1)
-        return place - self.starts[symbol]
+        own = self.bits[step].take(word)
+        own &= BELOW.take(place & 63)
+        ones = self.before[step].take(word)
+        ones += np.bitwise_count(own)
+        down = place - ones
+        ones += self.zeros[step]
+        ones -= down
+        ones &= one
+        down += ones
+        return down
+
+    def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each symbol occurs before its two places; so few at a time that they stay in a processor's cache."""
+        found = np.empty((2, len(symbol)), dtype=np.int64)
+        for at in range(0, len(symbol), TOGETHER):
+            own = symbol[at : at + TOGETHER]
+            a, b = low[at : at + TOGETHER], high[at : at + TOGETHER]
+            for step in range(self.levels):
+                one = -((own >> (self.levels - 1 - step)) & 1)
+                a, b = self._down(step, a, one), self._down(step, b, one)
+            found[:, at : at + TOGETHER] = (a, b) - self.starts[own]
+        return found[0], found[1]
 
 
 class FMIndex:
@@ -109,7 +129,9 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the patterns with one more symbol in front."""
-        return self.first[symbol] + self.wavelet.rank(symbol, low), self.first[symbol] + self.wavelet.rank(symbol, high)
+        first = self.first[symbol]
+        low, high = self.wavelet.rank(symbol, low, high)
+        return first + low, first + high
 
 
 def repeated(sequence: np.ndarray, doc: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,25 +164,22 @@ def repeated(sequence: np.ndarray, doc: np.ndarray, places: np.ndarray, window:
 
 # ---- segments ----------------------------------------------------------------------------
 
-def segments_of(number: np.ndarray, docs_with: np.ndarray, lens: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments_of(rarity: np.ndarray, docs_with: np.ndarray, lens: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, windows, place of their rarest word) of the segments of documents laid end to end.
 
     Windows that hold a word of one document only are left out, and those that reach into
-    the next document. The rarest word is the first of those with the fewest documents and
-    then the smallest number.
+    the next document. The rarest word is the first of those with the least `rarity`.
     """
     none = np.zeros(0, dtype=np.int64)
-    if len(number) < window:
+    if len(rarity) < window:
         return none, none, none
-    ordered = np.lexsort((number, docs_with))
-    order = np.empty(len(number), dtype=np.int32)
-    order[ordered] = np.cumsum(np.diff(number[ordered], prepend=-1) != 0)
-    best, rarest = order[: len(order) - window + 1].copy(), np.arange(len(order) - window + 1)
-    for k in range(1, window):
-        later = order[k : k + len(best)]
-        rarer = later < best
-        best[rarer] = later[rarer]
-        rarest[rarer] = np.flatnonzero(rarer) + k
+    # the smallest of (rarity, place) over windows of 1, 2, 4, ... words, then of two that overlap
+    smallest, width = rarity << PLACE_BITS | np.arange(len(rarity)), 1
+    while 2 * width <= window:
+        smallest, width = np.minimum(smallest[:-width], smallest[width:]), 2 * width
+    if width < window:
+        smallest = np.minimum(smallest[: width - window], smallest[window - width :])
+    rarest = smallest & ((1 << PLACE_BITS) - 1)
     ends = np.cumsum(lens)
     usable = (docs_with[rarest] > 1) & (np.arange(len(rarest)) + window <= np.repeat(ends, lens)[: len(rarest)])
     new = np.flatnonzero(np.diff(np.where(usable, rarest, -1), prepend=-2) != 0)
@@ -189,7 +208,10 @@ class BlockSegments:
         self.lens = np.asarray(block["lens"], dtype=np.int64)
         self.ids = [None if pd.isna(i) else int(i) for i in block["ids"]]
         self.number = table[:, 0][self.codes]
-        start, windows, center = segments_of(self.number, table[:, 1][self.codes], self.lens, window)
+        # words by the documents that have them and then by number
+        rarity = np.empty(len(table), dtype=np.int64)
+        rarity[np.lexsort((table[:, 0], table[:, 1]))] = np.arange(len(table))
+        start, windows, center = segments_of(rarity[self.codes], table[:, 1][self.codes], self.lens, window)
         own = np.array([LAST if i is None else i for i in self.ids], dtype=np.int64)
         self.id_of = np.repeat(own, self.lens)
         size = windows + window - 1
