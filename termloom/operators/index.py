@@ -25,6 +25,8 @@ from termloom.operators.staging import stage
 UNIT = ["kind", "unit"]
 #: Entries of a partition of a stored index, about; a unit's hash picks its one.
 BUCKET_ENTRIES, LEAST_BUCKETS = 250_000, 16
+#: Matches of entries with query units that a task sums, about, and the most parts that documents are dealt to.
+TASK_MATCHES, MOST_PARTS = 2_000_000, 20_000
 
 
 # ---- units -----------------------------------------------------------------------------
@@ -349,6 +351,23 @@ def _wanted(units: DataFrame) -> DataFrame:
     return units.select(*UNIT).distinct().union(own)
 
 
+def count_matches(index: TextIndex, units: DataFrame) -> int:
+    """Entries of all units of `units(query_id, kind, unit, ...)`, counted per query."""
+    df = index.unit_stats.select(*UNIT, F.greatest(*[F.col("df")[f] for f in index.fields], F.lit(0)).alias("met"))
+    met = lookup_join(units.select("query_id", *UNIT), df, UNIT, index.small_queries, spread_by="query_id")
+    return met.agg(F.sum("met")).first()[0] or 0
+
+
+def dealt(entries: DataFrame, matches: int) -> DataFrame:
+    """Entries by document, in as many parts as keep a task's share of `matches` with the queries in memory.
+
+    The number is given, so that adaptive execution doesn't put parts together by the size of the
+    entries: an entry meets many queries.
+    """
+    cores = entries.sparkSession.sparkContext.defaultParallelism
+    return entries.repartition(min(max(cores, -(-matches // TASK_MATCHES)), MOST_PARTS), "doc_id")
+
+
 def document_lengths(doc_terms: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(doc_id, lens) straight from the analysed documents."""
     return doc_terms.select("doc_id", F.struct(*[F.size(f).alias(f) for f in fields]).alias("lens"))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.operators.index import UNIT, TextIndex
+from termloom.operators.index import UNIT, TextIndex, count_matches, dealt
 from termloom.operators.joins import fits_broadcast, lookup_join, top_k
 from termloom.operators.staging import stage
 
@@ -32,6 +32,9 @@ FIRST_RANGES = 4
 SLACK = 2e-6
 #: With fewer entries to look at than this, every match is scored.
 DIRECT_PAIRS = 20_000_000
+#: The same where all queries fit a broadcast, so that entries are moved once and no pairs: bounds, a row per
+#: unit, range and query, are themselves more than the entries.
+DIRECT_BROADCAST = 100_000_000_000
 #: Lengths up to here have a cell of their own; the next cells follow without a gap.
 EXACT, WIDE = 8, 3
 #: Blocks in which queries meet the shortest documents.
@@ -155,23 +158,24 @@ def all_scores(index: TextIndex, model: Model) -> DataFrame:
     """
     here = sum([F.col("tf")[f] for f in model.fields[1:]], F.col("tf")[model.fields[0]]) > 0
     entries = index.entries.filter(here)
-    met = lookup_join(entries.repartition("doc_id") if index.small_queries else entries, model.units, UNIT, index.small_queries)
+    entries = dealt(entries, pairs_to_score(index, model)) if index.small_queries else entries
+    met = lookup_join(entries, model.units, UNIT, index.small_queries)
     sums = met.groupBy("query_id", "doc_id", "lens").agg(F.sum(F.col("weight") * model.gain).alias("gains"))
     return with_rest(model, sums, "lens", "doc_id").select("query_id", "doc_id", "score")
 
 
 def pairs_to_score(index: TextIndex, model: Model) -> int:
     """Entries of all queries' units, counted per query."""
-    df = index.unit_stats.select(*UNIT, F.greatest(*[F.col("df")[f] for f in index.fields], F.lit(0)).alias("met"))
-    met = lookup_join(model.units.select("query_id", *UNIT), df, UNIT, index.small_queries, spread_by="query_id")
-    return met.agg(F.sum("met")).first()[0] or 0
+    return count_matches(index, model.units)
 
 
-def best_matches(index: TextIndex, model: Model, k: int, direct: int = DIRECT_PAIRS) -> DataFrame:
+def best_matches(index: TextIndex, model: Model, k: int, direct: int | None = None) -> DataFrame:
     """The best `k` matching documents per query, as `top_k` of all their scores would give them.
 
     Up to `direct` entries to look at, bounds cost more than they save and all are scored.
     """
+    if direct is None:
+        direct = DIRECT_BROADCAST if index.small_queries else DIRECT_PAIRS
     if pairs_to_score(index, model) <= direct:
         return top_k(model.scores() if model.scores else all_scores(index, model), k)
     plan = plan_ranges(index, model, k)
@@ -213,7 +217,7 @@ def _below(low_first: Sequence[tuple], counts: dict[tuple, int], cell: tuple, k:
     return found
 
 
-def best_of_all(index: TextIndex, model: Model, k: int, direct: int = DIRECT_PAIRS) -> DataFrame:
+def best_of_all(index: TextIndex, model: Model, k: int, direct: int | None = None) -> DataFrame:
     """The best `k` per query of ALL documents, whether they match or not; for queries with a unit the collection has.
 
     A document without a match scores the rest alone, which `active` lengths decide: the

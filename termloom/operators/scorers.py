@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.index import UNIT, TextIndex
+from termloom.operators.index import UNIT, TextIndex, count_matches, dealt
 from termloom.operators.joins import fits_broadcast, lookup_join, top_k
 from termloom.operators.ranges import Model
 
@@ -31,11 +31,13 @@ def matches(index: TextIndex, stats: DataFrame, fields: Sequence[str], pairs: Da
     """Entries of every query unit that occurs in one of `fields`, with the unit's columns.
 
     With `pairs`, only entries of their documents meet the units, and only those pairs are
-    returned.
+    returned. Otherwise a document's entries are brought together first where the units fit a
+    broadcast, so sums per query and document move no pairs.
     """
     here = total([F.col("tf")[f] for f in fields]) > 0
     entries = index.entries.filter(here)
     if pairs is None:
+        entries = dealt(entries, count_matches(index, stats)) if index.small_queries else entries
         return lookup_join(entries, stats, UNIT, index.small_queries)
     listed = pairs.select("doc_id").distinct()
     entries = entries.join(F.broadcast(listed) if fits_broadcast(listed) else listed, "doc_id", "left_semi")

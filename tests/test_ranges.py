@@ -122,3 +122,24 @@ def test_shortest_documents(spark, k):
         better = sum((x, y) != (a, b) and x <= a and y <= b or (x, y) == (a, b) and j > i for j, (x, y) in rows)
         assert i in kept or better >= k
     assert len(kept) < 100
+
+
+def test_scoring_all_takes_tasks_by_matches(collection, monkeypatch):
+    """Queries in a broadcast: many matches mean more tasks over the same entries, not bounds, and no exchange of pairs."""
+    index, units = collection
+    model, expected = scorers.bm25_model(index, units), ranked(top_k(scorers.bm25(index, units), 5))
+    pairs = ranges.pairs_to_score(index, model)
+    monkeypatch.setattr(ranges, "DIRECT_PAIRS", 0)
+    monkeypatch.setattr("termloom.operators.index.TASK_MATCHES", 100)
+    monkeypatch.setattr(ranges, "plan_ranges", lambda *a: pytest.fail("bounds are written for broadcast queries"))
+    parts = -(-pairs // 100)
+    plan = ranges.all_scores(index, model)._jdf.queryExecution().executedPlan().toString()
+    assert parts > 8 and f", {parts}), REPARTITION_BY_NUM" in plan
+    assert ranked(ranges.best_matches(index, model, 5)) == expected
+
+
+def test_scores_of_all_matches_move_entries_only(collection):
+    index, units = collection
+    plan = scorers.bm25(index, units)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(doc_id" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(query_id" in line and "doc_id" in line]
