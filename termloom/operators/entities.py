@@ -58,9 +58,10 @@ def of_type(triples: DataFrame, target: str) -> DataFrame:
     """Triples of the subjects that have the type.
 
     Both sides enter the join straight from their shuffle, so adaptive execution can split
-    a subject that owns a large share of the triples.
+    a subject that owns a large share of the triples. The subjects are never broadcast: packed
+    files of a few MB hold more of them than the driver does.
     """
-    return triples.join(_typed(triples, target), "subject", "left_semi")
+    return triples.join(_typed(triples, target).hint("merge"), "subject", "left_semi")
 
 
 def folded(triples: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def entity_index(
     own = F.col("unit") == ""
     lens = sums.filter(own).select("doc_id", F.col("tf").alias("lens"))
     nothing = F.struct(*[F.lit(0).cast("long").alias(f) for f in ENTITY_FIELDS])
-    entries = sums.join(lens, "doc_id").select(
+    entries = sums.join(lens.hint("merge"), "doc_id").select(
         "doc_id", "lens", *UNIT, F.when(own, nothing).otherwise(F.col("tf")).alias("tf")
     )
     return TextIndex(stage(entries, "entities"), tuple(ENTITY_FIELDS), small)

@@ -43,14 +43,15 @@ def lookup_join(
 
     `small` says that `lookup` was measured to fit a broadcast. Otherwise every key of
     `rows` is split over `SALTS` parts by a hash of `spread_by`, so a key that owns a third
-    of the rows still lands in many tasks, and `lookup` is repeated once per part.
+    of the rows still lands in many tasks, and `lookup` is repeated once per part. Both then meet
+    sorted: Spark would judge `lookup` by the size of its files, which packed text keeps far below its rows.
     """
     on = list(on)
     if small:
         return rows.join(F.broadcast(lookup), on, how)
     parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    return salted.join(lookup.withColumn("salt", F.explode(parts)), [*on, "salt"], how).drop("salt")
+    return salted.join(lookup.withColumn("salt", F.explode(parts)).hint("merge"), [*on, "salt"], how).drop("salt")
 
 
 def hot_key_join(

@@ -7,6 +7,7 @@ import pytest
 from termloom.operators import entities as e
 from termloom.operators import prms
 from termloom.operators.index import query_units
+from termloom.operators.joins import lookup_join
 from termloom.operators.scorers import search
 
 LABEL, NAME = e.NAME_PREDICATES[:2]
@@ -158,3 +159,13 @@ def test_candidates(spark):
     assert e.candidates(links, seed="Other").count() == 0
     assert sorted(r.entity for r in e.candidates(links, seed="Lists").collect()) == ["x", "y"]
     assert [r.entity for r in e.candidates(links, cap=1).collect()] == ["x"]
+
+
+def test_tables_that_were_not_measured_small_are_never_broadcast(spark):
+    """Files of a few MB can hold more subjects than the driver does; Spark alone would broadcast them."""
+    triples = spark.range(3).selectExpr("'s' || id % 1 AS subject", f"'{TYPE}' AS predicate", "'T' AS object", "'uri' AS object_type")
+    lookup = triples.select("subject").distinct()
+    for joined in (e.of_type(triples, "T"), lookup_join(triples, lookup, ["subject"], False, "left_semi", spread_by="object")):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert joined.count() == 3
