@@ -143,3 +143,18 @@ def test_scores_of_all_matches_move_entries_only(collection):
     plan = scorers.bm25(index, units)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(doc_id" in plan
     assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(query_id" in line and "doc_id" in line]
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_fielded_scores_by_lengths(collection, monkeypatch, parts):
+    """Backgrounds made once per query and lengths: the same scores, and no row per unit and scored document."""
+    index, units = collection
+    units = units.union(units.filter("query_id = 'q2'").selectExpr("CAST(NULL AS STRING) query_id", "kind", "unit", "qf"))
+    weights = {"title": 0.4, "body": 0.6}
+    expected = sorted((str(r.query_id), r.doc_id, round(r.score, 9)) for r in dependence.fsdm(index, units, weights).collect())
+    monkeypatch.setattr(dependence, "LENGTH_GAIN", 0)
+    monkeypatch.setattr(dependence, "LENGTH_PARTS", parts)
+    found = dependence.fsdm(index, units, weights)
+    assert sorted((str(r.query_id), r.doc_id, round(r.score, 9)) for r in found.collect()) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and not [x for x in plan.splitlines() if "Exchange hashpartitioning(query_id" in x and "doc_id" in x]
