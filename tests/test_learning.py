@@ -100,6 +100,29 @@ def test_tfidf(mails, monkeypatch, hot_df):
     assert got == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("limit", [0, 280, 1 << 26])
+def test_tfidf_moves_few_rows(spark, monkeypatch, limit):
+    # the terms all documents share fit the broadcast at 280, a document's own terms don't; ids repeat and are missing
+    rows = [(None if d == 3 else d % 7, f"shared common common own{d} other{d}", True) for d in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, is_train boolean")
+    monkeypatch.setattr(textclf, "BROADCAST_BYTES", limit)
+    found = textclf.tfidf(docs)
+    got = {(r.doc_id, r.term): r.weight for r in found.collect()}
+    words, df = {}, Counter()
+    for d, text, _ in rows:
+        words.setdefault(d, Counter()).update(text.split())
+    df.update(w for listed in words.values() for w in listed)
+    expected = {}
+    for d, listed in words.items():
+        raw = {w: n * (math.log(11 / (1 + df[w])) + 1) for w, n in listed.items()}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        expected |= {(d, w): x / norm for w, x in raw.items()}
+    assert got == pytest.approx(expected)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # counts lie by document: with the vocabulary broadcast, no row per document and term is moved
+    assert ("Exchange hashpartitioning" in plan) == (limit < 1 << 26)
+
+
 def test_classifier(mails):
     model = textclf.train(mails.filter("is_train"), max_iter=20, num_features=64)
     predicted = textclf.predict(model, mails)
