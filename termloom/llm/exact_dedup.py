@@ -30,9 +30,10 @@ class DigestIndex:
         self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
 
     def append(self, rows: DataFrame) -> None:
+        """Rows are dealt by their bucket, so a bucket is one file, however many tasks write them."""
         (
             rows.select("digest", "keep_id")
-            .repartition(self.buckets, "digest")
+            .repartition(F.pmod(F.hash("digest"), F.lit(self.buckets)))
             .write.bucketBy(self.buckets, "digest").sortBy("digest")
             .option("path", self.path).mode("append").format("parquet").saveAsTable(self.name)
         )

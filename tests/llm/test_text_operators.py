@@ -178,6 +178,23 @@ def test_index_keeps_what_it_has_and_takes_what_is_new(spark, make_docs):
     assert spark.sql("DESCRIBE EXTENDED digests_of_test").filter("col_name = 'Bucket Columns'").first()["data_type"] == "[`digest`]"
 
 
+def test_a_bucket_of_the_index_is_one_file(spark, make_docs, monkeypatch):
+    """However many tasks a cluster deals keys to, a batch adds a file per bucket, not one per bucket and task."""
+    from termloom.operators.staging import new_path
+
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+
+    def raised(df, first, *keys):
+        return dealt(df, max(first, 37), *keys) if isinstance(first, int) and keys else dealt(df, first, *keys)
+
+    monkeypatch.setattr(frame, "repartition", raised)
+    index = exact_dedup.DigestIndex(spark, "digests_in_files", new_path(spark, "index"), buckets=4)
+    found = exact_dedup.deduplicate(make_docs([(i, f"text {i}", None) for i in range(200)]), index=index)
+    assert found.filter("kept").count() == 200
+    assert len(index.table().inputFiles()) == 4
+
+
 def line_rows():
     rows = [(i, f"menu \nown {i}\nmenu", "big") for i in range(30)] + [(100 + i, "rare" if i < 2 else f"x{i}", "big") for i in range(30)]
     return rows + [(200 + i, "menu\nsmall", "tiny") for i in range(3)] + [(300, None, "big"), (301, "", None), (302, "menu\n\nother", None)]
