@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,8 @@ def folded_runs(text: bytes, carry: int, size: int = RUN_BYTES) -> Iterator[tupl
 
 
 def give_back() -> None:
-    """Return freed memory to the system: a Python worker outlives its stage, and later ones need the room."""
+    """Return freed memory to the system, Arrow's too: a Python worker outlives its stage, and later ones need the room."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 

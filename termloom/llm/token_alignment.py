@@ -35,6 +35,8 @@ from termloom.operators.staging import stage
 BLOCK_BYTES = 16_000_000
 #: Chunks that are encoded at once.
 TOGETHER = 200
+#: Links of a block's documents, repeats counted, that are looked at together, about; a document's are.
+LINKS_TOGETHER = 1_000_000
 #: A single blank or line break between other characters starts a chunk.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 BLANK = "▁"
@@ -235,24 +237,23 @@ class Block:
     def row(self, block: int) -> pd.DataFrame:
         found = self.encoded()
         lens = np.fromiter(map(len, self.codes), dtype=np.int64, count=len(self.codes))
-        codes = np.fromiter((c for own in self.codes for c in own), dtype=np.int64, count=int(lens.sum()))
-        doc = np.repeat(np.arange(len(lens)), lens)
-        link_lens = np.array(found.n_links, dtype=np.int64)
+        codes = np.fromiter(chain.from_iterable(self.codes), dtype=np.int32, count=int(lens.sum()))
+        link_lens = np.array(found.n_links, dtype=np.int32)
         linked = np.concatenate(found.links) if found.links else np.zeros(0, np.int64)
+        found.links.clear()
         pairs = distinct(linked)
-        links = np.searchsorted(pairs, linked)
-        # a document counts a pair once, whichever of its chunks hold it
-        once = distinct(doc * max(1, len(link_lens)) + codes)
-        doc_of, code_of = np.divmod(once, max(1, len(link_lens)))
-        held = links[spread(link_lens, code_of)] + np.repeat(doc_of, link_lens[code_of]) * max(1, len(pairs))
-        docs_with = np.bincount(distinct(held) % max(1, len(pairs)), minlength=len(pairs))
+        links = np.searchsorted(pairs, linked).astype(np.int32)
+        del linked
+        docs_with = count_holders(lens, codes, link_lens, links, len(pairs))
         groups = []
         for own in self.codes:
             text = "".join([found.text[c] for c in own])[:-1]
             groups.append(hashlib.sha256(text.encode()).hexdigest() if own else "")
 
-        def per_document(numbers: list[int]) -> list:
-            return np.bincount(doc, weights=np.array(numbers)[codes], minlength=len(lens)).astype(np.int32) if len(codes) else [0] * len(lens)
+        def per_document(numbers: list[int]) -> np.ndarray:
+            before = np.concatenate([[0], np.cumsum(np.array(numbers, dtype=np.int64)[codes])])
+            ends = np.cumsum(lens)
+            return (before[ends] - before[ends - lens]).astype(np.int32)
 
         return pd.DataFrame({
             "block": [block], "ids": [self.ids], "n_a": [per_document(found.n_a)], "n_b": [per_document(found.n_b)],
@@ -270,6 +271,25 @@ def spread(lens: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(ends[chosen] - sizes - before, sizes)
 
 
+def count_holders(lens: np.ndarray, codes: np.ndarray, link_lens: np.ndarray, links: np.ndarray, n_pairs: int) -> np.ndarray:
+    """Documents that hold each pair linked; one counts a pair once, whichever of its chunks hold it.
+
+    Chunks of the documents lie one after another in `codes`, `lens` of each, and links of the chunks in `links`. Documents are
+    looked at in runs of about `LINKS_TOGETHER`, since their links written out are many times the block.
+    """
+    docs_with, ends, n_chunks = np.zeros(n_pairs, dtype=np.int64), np.cumsum(lens), max(1, len(link_lens))
+    upto = np.concatenate([[0], np.cumsum(link_lens[codes], dtype=np.int64)])[ends]
+    first, seen = 0, 0
+    while first < len(lens):
+        last = max(first + 1, int(np.searchsorted(upto, seen + LINKS_TOGETHER, side="right")))
+        own, doc = codes[ends[first] - lens[first] : ends[last - 1]], np.repeat(np.arange(last - first), lens[first:last])
+        doc, own = np.divmod(distinct(doc * n_chunks + own), n_chunks)
+        held = links[spread(link_lens, own)] + np.repeat(doc, link_lens[own]) * max(1, n_pairs)
+        docs_with += np.bincount(distinct(held) % max(1, n_pairs), minlength=n_pairs)
+        first, seen = last, upto[last - 1]
+    return docs_with
+
+
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, files: Broadcast) -> DataFrame:
     """Blocks over all documents."""
 
@@ -302,12 +322,14 @@ def pair_rows(blocks: DataFrame) -> DataFrame:
             for block, a, b, docs in zip(batch["block"], batch["first"], batch["second"], batch["docs_with"]):
                 pairs = unpack_numbers(a).astype(np.int64) << 32 | unpack_numbers(b)
                 yield pd.DataFrame({"block": block, "pair": pairs, "docs": unpack_numbers(docs).astype(np.int64)})
+        give_back()
 
     return blocks.select("block", "first", "second", "docs_with").mapInPandas(rows, "block long, pair long, docs long")
 
 
 def summed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """The rows of a block's documents, from the block and the counts of its pairs."""
+    give_back()
     block, known = left.iloc[0], right.sort_values("pair")
     counts, best = known["count"].to_numpy(np.int64), known["best"].to_numpy(np.int64)
     links, link_lens = unpack_numbers(block["links"]).astype(np.int64), unpack_numbers(block["link_lens"]).astype(np.int64)

@@ -272,6 +272,30 @@ def test_alignment_of_nothing(make_docs):
     assert rows_of(got, *ALIGNED) == [(1, 0, 0, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_links_of_documents_are_counted_in_runs(libraries, monkeypatch):
+    """Counts don't depend on the runs, and links of many documents are never written out together."""
+    rows = [(i, " ".join(HARD[i % 5 : i % 5 + 1 + i % 9])) for i in range(60)] + [(60, None), (61, "")]
+
+    def packed():
+        block = token_alignment.Block(libraries[2])
+        for doc_id, text in rows:
+            block.add(str(doc_id), text)
+        row = block.row(0).iloc[0]
+        first, second, docs = (token_alignment.unpack_numbers(row[n]).tolist() for n in ("first", "second", "docs_with"))
+        # chunks that do not give their own bytes are replaced, and leave pairs that no document holds
+        return {(a, b): n for a, b, n in zip(first, second, docs) if n}
+
+    texts = [found for _, text in rows if text and (found := whole(libraries, text))]
+    held = [(set(pairs), len(pairs)) for pairs in ([(int(a), int(b)) for a, b in linked(found)[1]] for found in texts)]
+    expected = Counter(pair for pairs, _ in held for pair in pairs)
+    assert packed() == expected
+    together, spread = [], token_alignment.spread
+    monkeypatch.setattr(token_alignment, "LINKS_TOGETHER", 100)
+    monkeypatch.setattr(token_alignment, "spread", lambda lens, chosen: together.append(int(lens[chosen].sum())) or spread(lens, chosen))
+    assert packed() == expected
+    assert len(together) > 1 and max(together) <= max(100, max(n for _, n in held))
+
+
 TEXT = st.text(alphabet=st.sampled_from(list(" \n\n  \t\rab.,'sé漢😀▁<0>xA1　 ü—")), max_size=80)
 
 
