@@ -162,8 +162,10 @@ def exchange(blocks: DataFrame, answer: Callable[[list[bytes], np.ndarray, int],
                     "words": [pack_words([words[i] for i in own]) for _, own in rows],
                     "docs_with": [pack_numbers(docs_with[own]) for _, own in rows],
                 })
+        give_back()
 
     def answered(rows: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         lists = [unpack_words(w) for w in rows["words"]]
         place: dict[bytes, int] = {}
         where = [np.fromiter([place.setdefault(w, len(place)) for w in own], dtype=np.int64, count=len(own)) for own in lists]

@@ -9,6 +9,7 @@ by position. Decoding looks every id up in the table of token bytes.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Callable
 
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm import blocks
+from termloom.llm.common import give_back
 
 #: Up to this many bytes a word is merged by looking at all pairs each time, above by a queue.
 SHORT = 48
@@ -136,6 +138,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", ou
 
     @F.pandas_udf("binary")
     def look_up(batch: pd.Series) -> pd.Series:
+        give_back()
         table = shared.value
         return batch.map(lambda ids: None if ids is None else b"".join([table[i] for i in ids.tolist()]))
 
@@ -143,10 +146,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", ou
 
 
 def ids_digest(ids: Column) -> Column:
-    """SHA-256, in lowercase hex, of the ids as little-endian unsigned 32-bit integers."""
+    """SHA-256, in lowercase hex, of the ids as little-endian unsigned 32-bit integers.
 
-    @F.pandas_udf("binary")
-    def packed(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda own: None if own is None else np.asarray(own, dtype="<u4").tobytes())
+    Taken where the ids are packed, so that they don't go back as bytes; null ids have none.
+    """
+
+    @F.pandas_udf("string")
+    def digest(batch: pd.Series) -> pd.Series:
+        give_back()
+        return batch.map(lambda own: None if own is None else hashlib.sha256(np.asarray(own, dtype="<u4").tobytes()).hexdigest())
 
-    return F.sha2(packed(ids), 256)
+    return digest(ids)

@@ -426,6 +426,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         features = Features(landmarks)
         for batch in batches:
             yield pd.Series(model.scores(features.of(batch)))
+            del batch
+            give_back()
         del features
         give_back()
 

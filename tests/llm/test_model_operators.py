@@ -339,6 +339,16 @@ def test_no_documents_to_encode(make_docs):
     assert bpe.encode(make_docs([]), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_digests_of_ids_are_taken_where_ids_are_packed(spark, capsys):
+    """Only digests leave Python, not the ids as bytes again; null ids have no digest."""
+    rows = spark.createDataFrame([(1, [0, 1, 70_000]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    found = rows.select("doc_id", bpe.ids_digest(F.col("ids")).alias("digest"))
+    packed = {1: (0).to_bytes(4, "little") + (1).to_bytes(4, "little") + (70_000).to_bytes(4, "little"), 2: b""}
+    assert dict(found.collect()) == {i: hashlib.sha256(b).hexdigest() for i, b in packed.items()} | {3: None}
+    found.explain()
+    assert "sha2" not in capsys.readouterr().out
+
+
 def test_long_words_merge_like_short_ones(monkeypatch):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     rng = random.Random(8)
