@@ -38,8 +38,6 @@ MIN_REPEATS = 60
 VOCABULARY = ["and", "the", "of", "The", "la", "de", "und", "der", "que", "pour"]
 LOOKUP, LOOKUP_DOC = ("body", "la"), 7
 LINK_PREFIX = "/Th"
-#: Labelled queries that the ranking model is fitted on at most; all held-out queries are evaluated.
-FITTED_QUERIES = 800
 ITEM = "7"
 KIND = {"unigram": "T", "ordered": "O", "unordered": "U"}
 
@@ -408,14 +406,14 @@ def id_split(spark, sf_dir):
 
 
 def _sides(spark, sf_dir):
-    """Index, units, judgments, and the units of the labelled and of the held-out queries."""
+    """Index, units, judgments, and the units of all labelled and of all held-out queries."""
     idx, units = _ltr_index(spark, sf_dir)
     split = ltr.id_split(c.queries(spark, sf_dir))
 
-    def side(is_train, most=None):
-        return units.join(ltr.side_ids(split, is_train, most), "query_id", "left_semi")
+    def side(is_train):
+        return units.join(ltr.side_ids(split, is_train), "query_id", "left_semi")
 
-    return idx, units, qrels_relevant(spark, sf_dir), side(True, FITTED_QUERIES), side(False)
+    return idx, units, qrels_relevant(spark, sf_dir), side(True), side(False)
 
 
 def first_pass_mrr(spark, sf_dir):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termloom.operators import ltr, metrics, textclf
 from termloom.operators.index import build_index, query_units
+from termloom.plans import catalog
 
 # Toy documents and queries with known features.
 DOCS = {
@@ -74,6 +75,20 @@ def test_id_split(spark):
     assert ltr.side_ids(split, True, 10).join(split.filter("not is_train"), "query_id").count() == 0
 
 
+def test_models_are_fitted_on_all_labelled_queries(spark, tmp_path):
+    """More labelled queries than the 800 that were once the most."""
+    items = spark.range(1200).select(F.col("id").alias("item_id"), F.concat(F.lit("words of item"), F.col("id")).alias("text"))
+    docs = spark.createDataFrame([(1, "title\nwords of item1. more", "en", "web"), (2, "item2 words", "en", "web")], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, table in {"benchmark": items, "documents": docs, "labels": labels}.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    _, _, _, labelled, held_out = catalog._sides(spark, str(tmp_path))
+    is_train = {r.query_id: r.is_train for r in catalog.id_split(spark, str(tmp_path)).collect()}
+    assert sum(is_train.values()) > 800
+    for side, train in ((labelled, True), (held_out, False)):
+        assert {r.query_id for r in side.select("query_id").distinct().collect()} == {q for q, t in is_train.items() if t == train}
+
+
 TEXTS = [
     (1, "Win money now, win!", 1, True), (2, "meeting at noon", 0, True), (3, "win a prize", 1, True),
     (4, "lunch meeting today", 0, True), (5, "win money; meeting", 1, False), (6, "noon lunch zebra", 0, False),
