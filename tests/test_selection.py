@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from termloom.operators import ltr, metrics, textclf
+from termloom.operators import hinge, ltr, metrics, textclf
 
 RNG = random.Random(4)
 TEXTS = [(i, f"{'cheap pills now' if i % 3 == 0 else 'minutes of the meeting'} {RNG.choice(['ab', 'cd', 'ef'])} w{i % 7}", int(i % 3 == 0)) for i in range(60)]
@@ -39,6 +39,33 @@ def test_exact_classifier(spark, texts):
     assert all(found[i].predicted == found[i].actual for i in range(45, 60))
 
 
+def test_coefficients_in_tables_are_those_of_the_library(spark, texts, steps=12):
+    """Ids that come twice, texts without words, and a word that all texts have; the losses and coefficients of `LinearSVC`."""
+    docs = texts.filter("doc_id < 30").union(texts.filter("doc_id < 3")).union(spark.createDataFrame([(90, "", 1), (91, None, 0), (None, "cheap w1", 1)], texts.schema))
+    docs = docs.withColumn("label", F.when(F.col("doc_id") % 5 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    model = textclf.train_exact(docs, ["of"], steps, 1e-9)
+    cells = textclf.weighted(textclf.term_counts(docs.withColumn("is_train", F.lit(True)), ["of"]), model.terms, model.n_train)
+    coefficients, intercept, losses = hinge.fit(cells, docs.select("doc_id", "label"), textclf.PENALTY, steps, 1e-9)
+    assert losses == pytest.approx([*model.classifier.summary().objectiveHistory], rel=1e-9)
+    assert len(losses) == steps + 1 and losses[-1] < losses[0] / 2
+    expected = model.classifier.coefficients.toArray()
+    got = {r.number: r.coefficient for r in coefficients.collect()}
+    assert [got.get(i, 0.0) for i in range(model.size)] == pytest.approx([*expected], rel=1e-6, abs=1e-9)
+    assert intercept == pytest.approx(model.classifier.intercept, rel=1e-6, abs=1e-9)
+
+
+def test_a_vocabulary_too_large_for_the_driver(spark, texts, monkeypatch):
+    """The driver never sees a number per term then, and predictions are the same."""
+    train, others = texts.filter("doc_id < 45"), texts.filter("doc_id >= 45").union(spark.createDataFrame([(100, None, 0), (101, "unknown words", 1)], texts.schema))
+    small = textclf.train_exact(train, ["of"], 3)
+    expected = sorted(map(tuple, textclf.predict_exact(small, others).collect()))
+    monkeypatch.setattr(textclf, "DRIVER_SHARE", 0.0)
+    monkeypatch.setattr(textclf, "LinearSVC", None)
+    large = textclf.train_exact(train, ["of"], 3)
+    assert large.classifier is None and large.terms.columns == ["term", "df", "number", "coefficient"] and large.terms.count() == small.size
+    assert sorted(map(tuple, textclf.predict_exact(large, others).collect())) == expected
+
+
 def pairs(spark, n_queries=30):
     """Queries whose relevant document has the largest body length."""
     rows = []
